@@ -90,6 +90,15 @@ def latest_episodes(episodes: DataFrame, rows: int) -> DataFrame:
     return top_rows(episodes, ["title_id"], [F.desc("id")], rows)
 
 
+def kakao_listed_episodes(df: DataFrame) -> DataFrame:
+    """Listed episodes with what they cost now."""
+    return df.select(
+        F.col("episode.contentId").alias("title_id"),
+        F.col("episode.id").alias("id"),
+        F.col("episode.useType").alias("use_type"),
+    )
+
+
 def free_episodes(episodes: DataFrame) -> DataFrame:
     """Only episodes that cost nothing now."""
     return episodes.where(F.col("use_type") == FREE_USE_TYPE)

@@ -64,7 +64,9 @@ def naver_likes_docs(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def naver_comments_docs(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def naver_comments_docs(
+    lineitem: DataFrame, orders: DataFrame, keep: tuple[str, ...] | list[str] = ()
+) -> DataFrame:
     """One response per order with line items; the total counts returns ('R')."""
     totals = lineitem.groupBy("l_orderkey").agg(
         F.count_if(F.col("l_returnflag") == "R").alias("total")
@@ -76,7 +78,8 @@ def naver_comments_docs(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return totals.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
         _struct(commentList=listed, count=_struct(total=F.col("total"))).alias(
             "result"
-        )
+        ),
+        *keep,
     )
 
 
@@ -110,21 +113,27 @@ def _landing_path(target: str, day, *names):
 
 
 def kakao_likes_docs(orders: DataFrame) -> DataFrame:
-    """One response per order; the title is found in the path only."""
+    """One response per order; the folder of a pending one names no title."""
     data = _struct(
         episodeId=F.col("o_orderkey"),
         likeCount=F.col("o_totalprice").cast("bigint"),
     )
-    path = _landing_path("episode_likes", "o_orderdate", "o_custkey", "o_orderkey")
+    title = F.when(F.col("o_orderstatus") == "P", F.lit("unsorted")).otherwise(
+        F.col("o_custkey").cast("string")
+    )
+    path = _landing_path("episode_likes", "o_orderdate", title, "o_orderkey")
     return orders.select(data.alias("data"), path.alias("source_file"))
 
 
-def kakao_comments_docs(lineitem: DataFrame) -> DataFrame:
-    """One response per line item; both keys are found in the path only."""
-    total = F.col("l_quantity").cast("bigint")
+def kakao_comments_docs(orders: DataFrame) -> DataFrame:
+    """One response per order; open ones have a file name with two dots."""
+    total = F.length("o_orderpriority").cast("bigint")
+    stem = F.when(
+        F.col("o_orderstatus") == "O", F.concat("o_orderkey", F.lit(".part"))
+    ).otherwise(F.col("o_orderkey").cast("string"))
+    path = _landing_path("comments", "o_orderdate", "o_custkey", stem)
     meta = _struct(pagination=_struct(totalCount=total))
-    path = _landing_path("comments", "l_shipdate", "l_suppkey", "l_orderkey")
-    return lineitem.select(meta.alias("meta"), path.alias("source_file"))
+    return orders.select(meta.alias("meta"), path.alias("source_file"))
 
 
 # --- titles -------------------------------------------------------------------
@@ -140,10 +149,13 @@ def _segment_weekday(segment):
     )
 
 
-def _kakao_page(weekday, content) -> DataFrame:
-    card = _struct(content=content)
-    group = _struct(cards=F.array(card))
-    return F.array(_struct(title=weekday, cardGroups=F.array(group)))
+def _kakao_page(weekday, content):
+    """A page of one section and two groups; the second group has no keywords."""
+    promoted = content.withField("id", -content["id"] - 1).withField(
+        "seoKeywords", F.lit(None).cast("array<string>")
+    )
+    groups = [_struct(cards=F.array(_struct(content=c))) for c in (content, promoted)]
+    return F.array(_struct(title=weekday, cardGroups=F.array(*groups)))
 
 
 def kakao_title_docs(customer: DataFrame) -> DataFrame:
@@ -176,6 +188,13 @@ def kakao_finished_docs(supplier: DataFrame) -> DataFrame:
     return supplier.select(_kakao_page(F.lit("완결"), content).alias("data"))
 
 
+def kakao_view_docs(supplier: DataFrame) -> DataFrame:
+    """One info document per supplier: view counts without badges."""
+    views = F.col("s_acctbal").cast("bigint")
+    data = _struct(id=F.col("s_suppkey"), statistics=_struct(viewCount=views))
+    return supplier.select(data.alias("data"))
+
+
 def kakao_info_docs(customer: DataFrame) -> DataFrame:
     """One info document per customer; machinery has no weekday badge."""
     segment = F.col("c_mktsegment")
@@ -224,6 +243,25 @@ def naver_title_docs(part: DataFrame) -> DataFrame:
     return part.select(by_day.alias("titleListMap"))
 
 
+def naver_day_docs(orders: DataFrame) -> DataFrame:
+    """One weekday map per order, landed on the order date; three days listed."""
+    title = _naver_title(
+        F.col("o_custkey"),
+        F.col("o_orderpriority"),
+        F.col("o_orderstatus"),
+        F.col("o_orderkey"),
+    )
+    by_day = F.create_map(
+        F.lit("TUESDAY"), F.array(title),
+        F.lit("FRIDAY"), F.array(title),
+        F.lit("SATURDAY"), F.array(title, title),
+    )
+    return orders.select(
+        by_day.alias("titleListMap"),
+        F.col("o_orderdate").cast("date").alias("landing_date"),
+    )
+
+
 def naver_finished_docs(supplier: DataFrame) -> DataFrame:
     """One finished list per supplier."""
     title = _naver_title(
