@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from quirelake.conventions import MERGED_FILES_PER_BATCH
 from quirelake.schemas import LANDING
@@ -18,7 +19,7 @@ from quirelake.sources.landing import landing_reader, no_documents, with_provena
 from quirelake.sources.layout import checkpoint_path, landing_glob, merged_path
 
 
-def compact(
+def start_compaction(
     spark: SparkSession,
     root: str,
     platform: str,
@@ -28,8 +29,8 @@ def compact(
     output_files: int | None = None,
     schema: str | None = None,
     multiline: bool = True,
-) -> int:
-    """Compact the landed files not compacted yet; the number of batches run.
+) -> StreamingQuery | None:
+    """Start compacting the landed files not compacted yet; None if none landed.
 
     files_per_batch bounds what one batch reads, and with it the work lost
     when a run is interrupted.  ``output_files`` fixes the files per batch
@@ -52,20 +53,31 @@ def compact(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return 0
+        return None
     if output_files is None:
         docs = docs.hint("rebalance")
     else:
         docs = docs.repartition(output_files)
-    query = (
+    return (
         docs.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path(root, platform, target))
         .option("path", merged_path(root, platform, target))
         .trigger(availableNow=True)
         .start()
     )
+
+
+def finish(query: StreamingQuery | None) -> int:
+    """Wait for a compaction; the number of documents it added."""
+    if query is None:
+        return 0
     query.awaitTermination()
-    return sum(1 for batch in query.recentProgress if batch.numInputRows > 0)
+    return sum(progress.numInputRows for progress in query.recentProgress)
+
+
+def compact(spark: SparkSession, root: str, platform: str, target: str, **options) -> int:
+    """Run one compaction to its end, see :func:`start_compaction`."""
+    return finish(start_compaction(spark, root, platform, target, **options))
 
 
 def read_merged(
@@ -81,4 +93,10 @@ def read_merged(
         return no_documents(spark, platform, target)
 
 
-__all__ = ["MERGED_FILES_PER_BATCH", "compact", "read_merged"]
+__all__ = [
+    "MERGED_FILES_PER_BATCH",
+    "compact",
+    "finish",
+    "read_merged",
+    "start_compaction",
+]
