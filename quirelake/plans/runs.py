@@ -88,15 +88,19 @@ def optimize_days(
     variant: Variant = DAILY,
     mode: str = "overwrite",
     max_files: int | None = None,
+    multiline: bool = True,
 ) -> None:
     """Compact the landed documents of all given dates.
 
     One job per target covers every date; the landing date is a column.
+    ``multiline=False`` takes files of one document per line.
     """
     dates = list(dates)
     for platform in platforms:
         for target in variant.targets(platform):
-            docs = read_landing(spark, root, platform, target, dates)
+            docs = read_landing(
+                spark, root, platform, target, dates, multiline=multiline
+            )
             shaped = compact_shape(docs, platform, target, variant.all_weekdays)
             write_optimized(shaped, root, platform, target, mode, max_files)
 
@@ -108,6 +112,7 @@ def compact_history(
     platforms: Iterable[str] = PLATFORMS,
     files_per_batch: int = 100_000,
     max_files: int | None = None,
+    multiline: bool = True,
 ) -> None:
     """Resume the compaction of all targets, then shape them.
 
@@ -116,7 +121,10 @@ def compact_history(
     dates = None if dates is None else list(dates)
     todo = [(p, t) for p in platforms for t in HISTORY.targets(p)]
     running = [
-        start_compaction(spark, root, p, t, dates, files_per_batch) for p, t in todo
+        start_compaction(
+            spark, root, p, t, dates, files_per_batch, multiline=multiline
+        )
+        for p, t in todo
     ]
     for query in running:
         finish(query)
@@ -235,10 +243,11 @@ def run_days(
     platforms: Iterable[str] = PLATFORMS,
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
+    multiline: bool = True,
 ) -> None:
     """O1, O2: landed documents of one or many dates to curated tables."""
     dates = list(dates)
-    optimize_days(spark, root, dates, platforms, mode=mode)
+    optimize_days(spark, root, dates, platforms, mode=mode, multiline=multiline)
     curate_days(spark, root, dates, platforms, mode, policy=policy)
 
 
@@ -267,9 +276,10 @@ def run_history(
     as_of: date | None = None,
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
+    multiline: bool = True,
 ) -> None:
     """O3: resumable backfill of ongoing and finished titles."""
-    compact_history(spark, root, dates, platforms)
+    compact_history(spark, root, dates, platforms, multiline=multiline)
     curate_history(spark, root, platforms, as_of, mode, policy)
 
 
@@ -279,6 +289,7 @@ def direct_source(
     dates: Iterable[date],
     folders: Iterable[str] | None = None,
     titles: DataFrame | None = None,
+    multiline: bool = True,
 ) -> Source:
     """Compacted frames straight from landed documents.
 
@@ -288,7 +299,9 @@ def direct_source(
     dates = list(dates)
 
     def read(platform: str, target: str) -> DataFrame:
-        docs = read_landing(spark, root, platform, target, dates, folders)
+        docs = read_landing(
+            spark, root, platform, target, dates, folders, multiline=multiline
+        )
         if titles is not None and target in ("episodes", "episode_likes", "comments"):
             docs = of_titles(docs, titles)
         return compact_shape(docs, platform, target, all_weekdays=True)
@@ -305,9 +318,10 @@ def run_direct(
     titles: DataFrame | None = None,
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
+    multiline: bool = True,
 ) -> None:
     """O3: backfill without a compacted layer."""
-    read = direct_source(spark, root, dates, folders, titles)
+    read = direct_source(spark, root, dates, folders, titles, multiline)
     write_tables(curate_tables(read, platforms, DIRECT, policy=policy), root, mode)
 
 

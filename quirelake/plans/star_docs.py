@@ -25,7 +25,9 @@ def _struct(**fields):
 # --- episodes, likes, comments ----------------------------------------------
 
 
-def naver_episode_docs(orders: DataFrame) -> DataFrame:
+def naver_episode_docs(
+    orders: DataFrame, keep: tuple[str, ...] | list[str] = ()
+) -> DataFrame:
     """One article list per order; pending orders have no readable date."""
     date = F.when(F.col("o_orderstatus") == "P", F.lit("soon")).otherwise(
         F.date_format("o_orderdate", "yy.MM.dd")
@@ -37,7 +39,9 @@ def naver_episode_docs(orders: DataFrame) -> DataFrame:
         serviceDateDescription=date,
     )
     return orders.select(
-        F.col("o_custkey").alias("titleId"), F.array(article).alias("articleList")
+        F.col("o_custkey").alias("titleId"),
+        F.array(article).alias("articleList"),
+        *keep,
     )
 
 
