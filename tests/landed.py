@@ -76,7 +76,7 @@ def _kakao_episode(title, i, serial, use, use_type="FREE"):
     }
 
 
-def _likes(key, counts, stamp=1740700000000):
+def _likes(key, counts, stamp=1740700800000):
     return {
         "contents": [{"contentsId": key, "reactions": [{"count": c} for c in counts]}],
         "timestamp": stamp,
