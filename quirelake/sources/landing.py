@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from quirelake.functions import landing_date, path_title
 from quirelake.schemas import LANDING, OPAQUE, VARIANT_COLUMN
-from quirelake.sources.layout import landing_folder, landing_glob
+from quirelake.sources.layout import file_pattern, landing_folder, landing_path
 
 
 def _options(platform: str, target: str, multiline: bool) -> dict[str, str]:
-    options = {"multiLine": str(multiline).lower()}
+    options = {
+        "multiLine": str(multiline).lower(),
+        "recursiveFileLookup": "true",
+        "pathGlobFilter": "*.json",
+    }
     if (platform, target) in OPAQUE:
         options["singleVariantColumn"] = VARIANT_COLUMN
     return options
@@ -25,6 +29,11 @@ def with_provenance(docs: DataFrame) -> DataFrame:
     return tagged.withColumn("landing_date", landing_date("source_file"))
 
 
+def at_depth(docs: DataFrame, target: str) -> DataFrame:
+    """Only documents that lie where the layout puts those of the target."""
+    return docs.where(F.col("source_file").rlike(file_pattern(target)))
+
+
 def landing_reader(
     reader, platform: str, target: str, schema: str | None = None, multiline: bool = True
 ):
@@ -71,9 +80,10 @@ def read_landing(
 
     Nothing landed for the dates gives an empty frame, not an error.
     """
-    path = landing_glob(root, platform, target, dates, folders)
+    path = landing_path(root, platform, target, dates, folders)
     try:
-        return read_files(spark, path, platform, target, schema, multiline)
+        docs = read_files(spark, path, platform, target, schema, multiline)
+        return at_depth(docs, target)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

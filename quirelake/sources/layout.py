@@ -25,24 +25,32 @@ def landing_folder(root: str, platform: str, target: str) -> str:
     return f"{root}/raw/{platform}/{target}"
 
 
-def landing_glob(
+def landing_path(
     root: str,
     platform: str,
     target: str,
     dates: Iterable[date] | None = None,
     folders: Iterable[str] | None = None,
 ) -> str:
-    """Files of a target, of all or the given dates and title folders.
+    """Where the files of a target lie, for all or the given dates and title folders.
 
-    A glob lists only the folders it names, so one day of a long history is
-    listed without touching the other days.
+    Only named folders are globbed.  Everything below them is left to Spark's
+    recursive listing, which is a distributed job when there are many folders;
+    a ``*`` over title folders would be listed one by one on the driver.
     """
-    days = "*/*/*" if dates is None else braces(f"{d:%Y/%m/%d}" for d in dates)
-    base = f"{landing_folder(root, platform, target)}/{days}"
-    if target in FLAT_TARGETS:
-        return f"{base}/*.json"
-    titles = "*" if folders is None else braces(str(f) for f in folders)
-    return f"{base}/{titles}/*.json"
+    path = landing_folder(root, platform, target)
+    if dates is not None:
+        path += "/" + braces(f"{d:%Y/%m/%d}" for d in dates)
+    if folders is not None and target not in FLAT_TARGETS:
+        days = "" if dates is not None else "/*/*/*"
+        path += f"{days}/" + braces(str(f) for f in folders)
+    return path
+
+
+def file_pattern(target: str) -> str:
+    """How deep below its date folder a file of a target lies."""
+    below = "[^/]+" if target in FLAT_TARGETS else "[^/]+/[^/]+"
+    return rf"/\d{{4}}/\d{{2}}/\d{{2}}/{below}$"
 
 
 def day_partition(d: date) -> str:

@@ -34,19 +34,25 @@ def _read(spark: SparkSession, root: str, glob: str, ddl: str) -> DataFrame:
         return spark.createDataFrame([], ddl)
 
 
-def _partition_date() -> Column:
-    return F.make_date("year", "month", "day")
+def _days_glob(dates: Iterable[date] | None, platforms: list[str] | None) -> str:
+    """The partitions of the given dates; without dates the root is pruned instead."""
+    if dates is None:
+        return ""
+    days = braces(map(day_partition, dates))
+    return days if platforms is None else f"{days}/platform={braces(platforms)}"
 
 
-def _partition_glob(
-    dates: Iterable[date] | None, platforms: Iterable[str] | None
-) -> str:
-    if dates is None and platforms is None:
-        return ""
-    days = "year=*/month=*/day=*" if dates is None else braces(map(day_partition, dates))
+def _scoped(
+    spark: SparkSession,
+    root: str,
+    ddl: str,
+    dates: Iterable[date] | None,
+    platforms: list[str] | None,
+) -> DataFrame:
+    frame = _read(spark, root, _days_glob(dates, platforms), ddl)
     if platforms is None:
-        return days
-    return f"{days}/platform={braces(platforms)}"
+        return frame
+    return frame.where(F.col("platform").isin(*platforms))
 
 
 def read_optimized(
@@ -57,10 +63,9 @@ def read_optimized(
     dates: Iterable[date] | None = None,
 ) -> DataFrame:
     """One platform's compacted target for all or the given dates."""
-    table = optimized_root(root, target)
-    glob = _partition_glob(dates, [platform])
     ddl = schemas.OPTIMIZED[platform, target]
-    dated = _read(spark, table, glob, ddl).withColumn("landing_date", _partition_date())
+    frame = _scoped(spark, optimized_root(root, target), ddl, dates, [platform])
+    dated = frame.withColumn("landing_date", F.make_date("year", "month", "day"))
     return dated.drop(*PARTITION_COLUMNS)
 
 
@@ -83,8 +88,10 @@ def read_curated(
     platforms: Iterable[str] | None = None,
 ) -> DataFrame:
     """A curated table: all of it, some dates, or some dates and platforms."""
-    glob = _partition_glob(dates, platforms)
-    return _read(spark, curated_root(root, table), glob, schemas.CURATED[table])
+    platforms = None if platforms is None else list(platforms)
+    return _scoped(
+        spark, curated_root(root, table), schemas.CURATED[table], dates, platforms
+    )
 
 
 def preview(

@@ -15,8 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quirelake.conventions import MERGED_FILES_PER_BATCH
 from quirelake.schemas import LANDING
-from quirelake.sources.landing import landing_reader, no_documents, with_provenance
-from quirelake.sources.layout import checkpoint_path, landing_glob, merged_path
+from quirelake.sources.landing import (
+    at_depth,
+    landing_reader,
+    no_documents,
+    with_provenance,
+)
+from quirelake.sources.layout import checkpoint_path, landing_path, merged_path
 
 
 def start_compaction(
@@ -47,9 +52,9 @@ def start_compaction(
         schema,
         multiline,
     )
-    path = landing_glob(root, platform, target, dates)
+    path = landing_path(root, platform, target, dates)
     try:
-        docs = with_provenance(source.json(path))
+        docs = at_depth(with_provenance(source.json(path)), target)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -3,13 +3,14 @@
 import json
 import os
 from glob import glob
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from quirelake import sources
 from quirelake.operators.compacted import articles
-from quirelake.sources.layout import backup_path, landing_glob, merged_path
+from quirelake.sources.layout import backup_path, landing_path, merged_path
 from quirelake.streaming import compact, read_merged
 from tests import landed
 from tests.conftest import rows
@@ -26,12 +27,19 @@ def parquet_files(path):
     return glob(os.path.join(path, "**", "*.parquet"), recursive=True)
 
 
-def test_globs_name_only_what_is_asked(root):
-    assert landing_glob("r", "naver", "titles").endswith("raw/naver/titles/*/*/*/*.json")
-    one = landing_glob("r", "naver", "episodes", [DAY1], ["2"])
-    assert one == "r/raw/naver/episodes/2025/02/27/2/*.json"
-    two = landing_glob("r", "naver", "episodes", [DAY1, DAY2])
-    assert two == "r/raw/naver/episodes/{2025/02/27,2025/02/28}/*/*.json"
+def test_paths_name_only_what_is_asked():
+    assert landing_path("r", "naver", "titles") == "r/raw/naver/titles"
+    one = landing_path("r", "naver", "episodes", [DAY1], ["2"])
+    assert one == "r/raw/naver/episodes/2025/02/27/2"
+    two = landing_path("r", "naver", "episodes", [DAY1, DAY2])
+    assert two == "r/raw/naver/episodes/{2025/02/27,2025/02/28}"
+
+
+def test_files_elsewhere_are_not_read(spark, root):
+    stray = {("naver", "episodes", DAY1): {"stray": {"titleId": 99}, "a/b/c": {"titleId": 98}}}
+    landed.write(Path(root), stray)
+    docs = sources.read_landing(spark, root, "naver", "episodes", [DAY1])
+    assert rows(docs, "titleId") == [(2,), (3,), (9,)]
 
 
 def test_compaction_resumes(spark, root):
@@ -39,7 +47,7 @@ def test_compaction_resumes(spark, root):
     assert read_merged(spark, root, "naver", "comments").count() == 5
     assert compact(spark, root, "naver", "comments", files_per_batch=2) == 0
     late = {("naver", "comments", DAY1): {"7/1": {"result": {"count": {"total": 0}}}}}
-    landed.write(__import__("pathlib").Path(root), late)
+    landed.write(Path(root), late)
     path = f"{root}/raw/naver/comments/2025/02/27/7/1.json"
     os.utime(path, (0, 0))  # an old time stamp does not hide a new file
     assert compact(spark, root, "naver", "comments", files_per_batch=2) == 1
