@@ -1,6 +1,6 @@
 """Landing document -> compacted shape (the outermost list flattened).
 
-Each function takes landing documents with ``source_file`` and
+Each function takes landing documents with ``filename`` and
 ``landing_date`` and keeps those two columns beside its own.  All of it is
 narrow: no function here shuffles.
 """
@@ -14,7 +14,7 @@ from quirelake.functions import path_stem, path_title, weekday_key
 
 def provenance(df: DataFrame) -> list[str]:
     """The bookkeeping columns present in a frame; they travel with every row."""
-    return [c for c in ("source_file", "landing_date") if c in df.columns]
+    return [c for c in ("filename", "landing_date") if c in df.columns]
 
 
 def titles_of_weekday(docs: DataFrame, weekday) -> DataFrame:
@@ -22,7 +22,7 @@ def titles_of_weekday(docs: DataFrame, weekday) -> DataFrame:
     listed = F.try_element_at("titleListMap", weekday)
     return docs.select(
         F.explode(listed).alias("title"),
-        weekday.alias("weekday"),
+        weekday.alias("weekday_str"),
         *provenance(docs),
     )
 
@@ -35,15 +35,15 @@ def titles_of_run_day(docs: DataFrame) -> DataFrame:
 def titles_of_all_weekdays(docs: DataFrame) -> DataFrame:
     """Every weekday's list, from one scan of the documents."""
     kept = provenance(docs)
-    lists = docs.select(F.explode("titleListMap").alias("weekday", "listed"), *kept)
-    return lists.select(F.explode("listed").alias("title"), "weekday", *kept)
+    lists = docs.select(F.explode("titleListMap").alias("weekday_str", "listed"), *kept)
+    return lists.select(F.explode("listed").alias("title"), "weekday_str", *kept)
 
 
 def finished_list(docs: DataFrame) -> DataFrame:
     """The finished list, under a weekday name of its own."""
     return docs.select(
         F.explode("titleList").alias("title"),
-        F.lit(FINISHED_WEEKDAY).alias("weekday"),
+        F.lit(FINISHED_WEEKDAY).alias("weekday_str"),
         *provenance(docs),
     )
 
@@ -65,7 +65,7 @@ def sections(docs: DataFrame) -> DataFrame:
 def listed_episodes(docs: DataFrame) -> DataFrame:
     """X5, first half: one row per listed episode."""
     return docs.select(
-        F.explode("data.episodes").alias("episode"), *provenance(docs)
+        F.explode("data.episodes").alias("episodes"), *provenance(docs)
     )
 
 
@@ -73,8 +73,8 @@ def with_path_keys(docs: DataFrame) -> DataFrame:
     """Title and episode keys, which only the file path carries."""
     return docs.withColumns(
         {
-            "title_id": path_title("source_file"),
-            "episode_id": path_stem("source_file"),
+            "title_id": path_title("filename"),
+            "episode_id": path_stem("filename"),
         }
     )
 

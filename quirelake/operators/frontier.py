@@ -93,9 +93,9 @@ def latest_episodes(episodes: DataFrame, rows: int) -> DataFrame:
 def kakao_listed_episodes(df: DataFrame) -> DataFrame:
     """Listed episodes with what they cost now."""
     return df.select(
-        F.col("episode.contentId").alias("title_id"),
-        F.col("episode.id").alias("id"),
-        F.col("episode.useType").alias("use_type"),
+        F.col("episodes.contentId").alias("title_id"),
+        F.col("episodes.id").alias("id"),
+        F.col("episodes.useType").alias("use_type"),
     )
 
 

@@ -17,6 +17,7 @@ from quirelake.functions import (
     items_where,
     join_names,
     key_part,
+    path_stem,
     path_title,
     release_day,
     short_date,
@@ -44,8 +45,8 @@ def naver_titles(df: DataFrame, completed: bool = False) -> DataFrame:
         F.col("title.author").alias("author"),
         F.col("title.viewCount").alias("views"),
         F.col("title.thumbnailUrl").alias("image_url"),
-        "weekday",
-        release_day("weekday").alias("release_day"),
+        F.col("weekday_str").alias("weekday"),
+        release_day("weekday_str").alias("release_day"),
         F.lit(completed).alias("is_completed"),
     )
 
@@ -216,11 +217,11 @@ def kakao_episodes(df: DataFrame, date_field: str = "serialStartDateTime") -> Da
     return df.select(
         *_dated(df),
         _platform(KAKAO),
-        F.col("episode.contentId").alias("title_id"),
-        F.col("episode.id").alias("id"),
-        F.col("episode.title").alias("title"),
-        F.col("episode.asset.thumbnailImage").alias("image_url"),
-        iso_date(F.col("episode")[date_field]).alias("updated_date"),
+        F.col("episodes.contentId").alias("title_id"),
+        F.col("episodes.id").alias("id"),
+        F.col("episodes.title").alias("title"),
+        F.col("episodes.asset.thumbnailImage").alias("image_url"),
+        iso_date(F.col("episodes")[date_field]).alias("updated_date"),
     )
 
 
@@ -229,7 +230,7 @@ def kakao_likes(df: DataFrame) -> DataFrame:
     return df.select(
         *_dated(df),
         _platform(KAKAO),
-        path_title("source_file").try_cast("bigint").alias("title_id"),
+        path_title("filename").try_cast("bigint").alias("title_id"),
         F.col("data.episodeId").alias("id"),
         F.col("data.likeCount").alias("likes"),
     )
@@ -241,6 +242,6 @@ def kakao_comments(df: DataFrame) -> DataFrame:
         *_dated(df),
         _platform(KAKAO),
         F.col("title_id").try_cast("bigint").alias("title_id"),
-        F.col("episode_id").try_cast("bigint").alias("id"),
+        path_stem("episode_id").try_cast("bigint").alias("id"),
         F.col("meta.pagination.totalCount").alias("comments"),
     )

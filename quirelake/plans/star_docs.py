@@ -126,7 +126,7 @@ def kakao_likes_docs(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").cast("string")
     )
     path = _landing_path("episode_likes", "o_orderdate", title, "o_orderkey")
-    return orders.select(data.alias("data"), path.alias("source_file"))
+    return orders.select(data.alias("data"), path.alias("filename"))
 
 
 def kakao_comments_docs(orders: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def kakao_comments_docs(orders: DataFrame) -> DataFrame:
     ).otherwise(F.col("o_orderkey").cast("string"))
     path = _landing_path("comments", "o_orderdate", "o_custkey", stem)
     meta = _struct(pagination=_struct(totalCount=total))
-    return orders.select(meta.alias("meta"), path.alias("source_file"))
+    return orders.select(meta.alias("meta"), path.alias("filename"))
 
 
 # --- titles -------------------------------------------------------------------

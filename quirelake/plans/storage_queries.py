@@ -127,7 +127,7 @@ def _yearly_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.select("*", year.alias("landing_date")).transform(
             lambda o: docs.naver_episode_docs(o, keep=["landing_date"])
         )
-    ).withColumn("source_file", F.concat("article.subtitle", "article.no"))
+    ).withColumn("filename", F.concat("article.subtitle", "article.no"))
 
 
 @query("""

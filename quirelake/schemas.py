@@ -73,14 +73,14 @@ LANDING = {
     (KAKAO, "comments"): "meta struct<pagination: struct<totalCount: bigint>>",
 }
 
-_PROVENANCE = ", source_file string"
+_PROVENANCE = ", filename string"
 _PARTITIONS = ", year int, month int, day int, platform string"
 
 # The compacted layer: one row per document, or per element where the
 # compaction already flattens the outermost list.
 OPTIMIZED = {
-    (NAVER, "titles"): f"title {_NAVER_TITLE}, weekday string",
-    (NAVER, "finished_titles"): f"title {_NAVER_TITLE}, weekday string",
+    (NAVER, "titles"): f"title {_NAVER_TITLE}, weekday_str string",
+    (NAVER, "finished_titles"): f"title {_NAVER_TITLE}, weekday_str string",
     (NAVER, "title_info"): _NAVER_INFO,
     (NAVER, "episodes"): f"article {_NAVER_ARTICLE}, title_id bigint",
     (NAVER, "episode_info"): f"{VARIANT_COLUMN} variant",
@@ -89,7 +89,7 @@ OPTIMIZED = {
     (KAKAO, "titles"): f"data {_KAKAO_SECTION}",
     (KAKAO, "finished_titles"): f"data {_KAKAO_SECTION}",
     (KAKAO, "title_info"): _KAKAO_INFO,
-    (KAKAO, "episodes"): f"episode {_KAKAO_EPISODE}",
+    (KAKAO, "episodes"): f"episodes {_KAKAO_EPISODE}",
     (KAKAO, "episode_likes"): "data struct<episodeId: bigint, likeCount: bigint>",
     (KAKAO, "comments"): (
         "meta struct<pagination: struct<totalCount: bigint>>,"

@@ -25,13 +25,13 @@ def _options(platform: str, target: str, multiline: bool) -> dict[str, str]:
 
 def with_provenance(docs: DataFrame) -> DataFrame:
     """The source file of each row, and the landing date in its path."""
-    tagged = docs.select("*", F.col("_metadata.file_path").alias("source_file"))
-    return tagged.withColumn("landing_date", landing_date("source_file"))
+    tagged = docs.select("*", F.col("_metadata.file_path").alias("filename"))
+    return tagged.withColumn("landing_date", landing_date("filename"))
 
 
 def at_depth(docs: DataFrame, target: str) -> DataFrame:
     """Only documents that lie where the layout puts those of the target."""
-    return docs.where(F.col("source_file").rlike(file_pattern(target)))
+    return docs.where(F.col("filename").rlike(file_pattern(target)))
 
 
 def landing_reader(
@@ -62,7 +62,7 @@ def read_files(
 
 
 def no_documents(spark: SparkSession, platform: str, target: str) -> DataFrame:
-    ddl = f"{LANDING[platform, target]}, source_file string, landing_date date"
+    ddl = f"{LANDING[platform, target]}, filename string, landing_date date"
     return spark.createDataFrame([], ddl)
 
 
@@ -96,7 +96,7 @@ def of_titles(docs: DataFrame, titles: DataFrame) -> DataFrame:
     A semi join, so the selection may be of any size.
     """
     wanted = titles.select(F.col("title_id").cast("string").alias("__folder")).distinct()
-    tagged = docs.withColumn("__folder", path_title("source_file"))
+    tagged = docs.withColumn("__folder", path_title("filename"))
     return tagged.join(wanted, "__folder", "left_semi").drop("__folder")
 
 

@@ -129,8 +129,8 @@ def in_files(df: DataFrame, by: list[str], max_files: int | None = None) -> Data
 
 def _hashable(df: DataFrame) -> list[Column | str]:
     """Columns a hash can take: maps and variants cannot be hashed."""
-    if "source_file" in df.columns:
-        return ["source_file"]
+    if "filename" in df.columns:
+        return ["filename"]
     plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     return [c for c in plain if df.schema[c].dataType.simpleString() != "variant"]
 

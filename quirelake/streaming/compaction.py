@@ -89,7 +89,7 @@ def read_merged(
     spark: SparkSession, root: str, platform: str, target: str
 ) -> DataFrame:
     """The compacted documents of a target."""
-    ddl = f"{LANDING[platform, target]}, source_file string, landing_date date"
+    ddl = f"{LANDING[platform, target]}, filename string, landing_date date"
     try:
         return spark.read.schema(ddl).parquet(merged_path(root, platform, target))
     except AnalysisException as error:

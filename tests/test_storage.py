@@ -53,7 +53,7 @@ def test_compaction_resumes(spark, root):
     assert compact(spark, root, "naver", "comments", files_per_batch=2) == 1
     merged = read_merged(spark, root, "naver", "comments")
     assert merged.count() == 6
-    assert merged.select("source_file").distinct().count() == 6
+    assert merged.select("filename").distinct().count() == 6
     assert rows(merged.groupBy("landing_date").count()) == [(DAY1, 5), (DAY2, 1)]
 
 
@@ -170,3 +170,33 @@ def test_documents_of_some_titles(spark, root):
     wanted = spark.createDataFrame([(3,), (3,), (77,)], "title_id bigint")
     assert rows(sources.of_titles(docs, wanted), "titleId") == [(3,)]
     assert docs.where(F.col("titleId") == 3).count() == 1
+
+
+def test_days_compacted_elsewhere(spark, root):
+    """Compacted days with inferred schemas, more fields and file names as keys."""
+    from quirelake.plans import runs
+
+    part = "year=2025/month=02/day=27/platform=kakao"
+
+    def raw(target):
+        path = f"{root}/raw/kakao/{target}/2025/02/27"
+        reader = spark.read.option("recursiveFileLookup", "true")
+        return reader.json(path, multiLine=True).select("*", "_metadata.file_path")
+
+    named = {"filename": F.col("file_path")}
+    segment = lambda i: F.element_at(F.split("file_path", "/"), i)
+    keyed = named | {"title_id": segment(-2), "episode_id": segment(-1)}
+    frames = {
+        "titles": raw("titles").select(F.explode("data").alias("data")),
+        "title_info": raw("title_info").drop("file_path"),
+        "episodes": raw("episodes").select(F.explode("data.episodes").alias("episodes")),
+        "episode_likes": raw("episode_likes").withColumns(named).drop("file_path"),
+        "comments": raw("comments").withColumns(keyed).drop("file_path"),
+    }
+    for target, frame in frames.items():
+        frame.write.parquet(f"{root}/optimized/{target}/{part}")
+    runs.curate_days(spark, root, [DAY1], ["kakao"])
+    found = {t: rows(f) for t, f in runs.read_scope(spark, root).items()}
+    runs.run_days(spark, root, [DAY1], ["kakao"])
+    assert found == {t: rows(f) for t, f in runs.read_scope(spark, root).items()}
+    assert len(found["episodes"]) == 3

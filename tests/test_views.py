@@ -26,7 +26,7 @@ def docs(spark, tmp_path_factory):
 def test_weekday_lists(docs):
     pages = docs("naver", "titles")
     every = compacted.titles_of_all_weekdays(pages)
-    assert rows(every.selectExpr("weekday", "title.titleId", "landing_date")) == [
+    assert rows(every.selectExpr("weekday_str", "title.titleId", "landing_date")) == [
         ("FRIDAY", 4, DAY2),
         ("MONDAY", 1, DAY1),
         ("MONDAY", 2, DAY1),
@@ -36,7 +36,7 @@ def test_weekday_lists(docs):
         ("THURSDAY", 3, DAY2),
     ]
     own_day = compacted.titles_of_run_day(pages)
-    assert rows(own_day.selectExpr("weekday", "title.titleId")) == [
+    assert rows(own_day.selectExpr("weekday_str", "title.titleId")) == [
         ("FRIDAY", 4),
         ("THURSDAY", 2),
         ("THURSDAY", 2),
