@@ -16,7 +16,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from quirelake.conventions import PLATFORMS, READER_PREVIEW_ROWS
+from quirelake.conventions import JOB_PREVIEW_ROWS, PLATFORMS, READER_PREVIEW_ROWS
 from quirelake.plans import runs
 from quirelake.sources import preview
 
@@ -33,6 +33,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--platform", choices=PLATFORMS, help="default: all platforms")
     parser.add_argument("--folders", nargs="*", help="title folders of a direct run")
     parser.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
+    parser.add_argument("--backup", action="store_true", help="keep a direct run's views")
+    parser.add_argument("--show", action="store_true", help="show what a run wrote")
     parser.add_argument("--all-dates", action="store_true", help="read every date")
     return parser.parse_args(argv)
 
@@ -67,14 +69,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.command == "history":
         runs.run_history(spark, args.root, dates, platforms, mode=args.mode)
     elif args.command == "direct":
+        if args.backup:
+            read = runs.direct_source(spark, args.root, dates, args.folders)
+            runs.backup_direct(read, args.root, platforms)
         runs.run_direct(
             spark, args.root, dates, platforms, folders=args.folders, mode=args.mode
         )
-    else:
+    if args.command == "read" or args.show:
         on = None if args.all_dates else dates[0]
+        shown = READER_PREVIEW_ROWS if args.command == "read" else JOB_PREVIEW_ROWS
         for table, frame in runs.read_scope(spark, args.root, on, args.platform).items():
             print(table)
-            preview(frame).show(READER_PREVIEW_ROWS, truncate=False)
+            preview(frame, shown).show(shown, truncate=False)
 
 
 if __name__ == "__main__":

@@ -5,8 +5,9 @@ Each function takes landing documents with ``filename`` and
 narrow: no function here shuffles.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirelake.conventions import FINISHED_WEEKDAY, KAKAO, NAVER
 from quirelake.functions import path_stem, path_title, weekday_key
@@ -17,9 +18,19 @@ def provenance(df: DataFrame) -> list[str]:
     return [c for c in ("filename", "landing_date") if c in df.columns]
 
 
+def weekday_lists(docs: DataFrame) -> Column:
+    """The weekday lists as a map, also where the object was read as a struct."""
+    kind = docs.schema["titleListMap"].dataType
+    lists = F.col("titleListMap")
+    if not isinstance(kind, T.StructType):
+        return lists
+    pairs = [part for day in kind.names for part in (F.lit(day), lists[day])]
+    return F.create_map(*pairs)
+
+
 def titles_of_weekday(docs: DataFrame, weekday) -> DataFrame:
     """The list stored under one weekday key, here given per row."""
-    listed = F.try_element_at("titleListMap", weekday)
+    listed = F.try_element_at(weekday_lists(docs), weekday)
     return docs.select(
         F.explode(listed).alias("title"),
         weekday.alias("weekday_str"),
@@ -35,7 +46,7 @@ def titles_of_run_day(docs: DataFrame) -> DataFrame:
 def titles_of_all_weekdays(docs: DataFrame) -> DataFrame:
     """Every weekday's list, from one scan of the documents."""
     kept = provenance(docs)
-    lists = docs.select(F.explode("titleListMap").alias("weekday_str", "listed"), *kept)
+    lists = docs.select(F.explode(weekday_lists(docs)).alias("weekday_str", "listed"), *kept)
     return lists.select(F.explode("listed").alias("title"), "weekday_str", *kept)
 
 

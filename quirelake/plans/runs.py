@@ -18,12 +18,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.conventions import KAKAO, NAVER, PLATFORMS, TARGETS
+from quirelake.conventions import BACKUP_FILES, KAKAO, NAVER, PLATFORMS, TARGETS
 from quirelake.operators import curation, views
 from quirelake.operators.compacted import compact_shape
 from quirelake.operators.skew import DEFAULT_POLICY, SkewPolicy
 from quirelake.sources.landing import of_titles, read_landing
 from quirelake.sources.tables import (
+    backup,
     read_curated,
     read_history,
     read_optimized,
@@ -325,6 +326,39 @@ def run_direct(
     write_tables(curate_tables(read, platforms, DIRECT, policy=policy), root, mode)
 
 
+def direct_views(read: Source, platform: str) -> dict[str, DataFrame]:
+    """The flat views a direct run takes of one platform, by the names of their backups."""
+    if platform == KAKAO:
+        return {
+            "finished_titles": views.kakao_titles(read(KAKAO, "finished_titles"), True),
+            "finished_title_info": views.kakao_views_by_badge(read(KAKAO, "title_info")),
+            "finished_episodes": views.kakao_episodes(
+                read(KAKAO, "episodes"), DIRECT.date_field
+            ),
+            "finished_episode_likes": views.kakao_likes(read(KAKAO, "episode_likes")),
+            "finished_comments": views.kakao_comments(read(KAKAO, "comments")),
+        }
+    return {
+        "finished_titles": views.naver_titles(read(NAVER, "finished_titles"), True),
+        "finished_title_info": views.naver_info_weekdays(read(NAVER, "title_info")),
+        "finished_episodes": views.naver_episodes(read(NAVER, "episodes")),
+        "finished_episode_likes": views.naver_likes(read(NAVER, "episode_likes")),
+        "finished_comments": views.naver_comments(read(NAVER, "comments")),
+    }
+
+
+def backup_direct(
+    read: Source,
+    root: str,
+    platforms: Iterable[str] = PLATFORMS,
+    max_files: int | None = BACKUP_FILES,
+) -> None:
+    """K4: back up the flat views of a direct run, replacing the last backup."""
+    for platform in platforms:
+        for name, frame in direct_views(read, platform).items():
+            backup(frame, root, platform, name, max_files)
+
+
 def read_scope(
     spark: SparkSession,
     root: str,

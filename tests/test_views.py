@@ -1,8 +1,11 @@
 """Compaction shapes and views on landed documents."""
 
+import json
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quirelake.operators import compacted, views
 from quirelake.operators.curation import curate_genres, genres_of_cards
@@ -44,6 +47,18 @@ def test_weekday_lists(docs):
     ]
 
 
+def test_weekday_lists_read_as_a_struct(spark, docs):
+    page = landed.edge_cases()["naver", "titles", DAY1]["titles"]
+    text = spark.createDataFrame([(json.dumps(page),)], "doc string")
+    kind = "titleListMap struct<MONDAY: {0}, TUESDAY: {0}, THURSDAY: {0}, SUNDAY: {0}>"
+    listed = "array<struct<titleId: bigint>>"
+    parsed = text.select(F.from_json("doc", kind.format(listed)).alias("d")).select("d.*")
+    found = compacted.titles_of_all_weekdays(parsed)
+    expected = compacted.titles_of_all_weekdays(docs("naver", "titles", DAY1))
+    columns = ["weekday_str", "title.titleId"]
+    assert rows(found, *columns) == rows(expected, *columns)
+
+
 def test_finished_lists(docs):
     titles = views.naver_titles(compacted.finished_list(docs("naver", "finished_titles")), True)
     assert rows(titles, "id", "weekday", "release_day", "is_completed") == [
