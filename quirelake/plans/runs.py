@@ -291,6 +291,7 @@ def direct_source(
     folders: Iterable[str] | None = None,
     titles: DataFrame | None = None,
     multiline: bool = True,
+    all_weekdays: bool = True,
 ) -> Source:
     """Compacted frames straight from landed documents.
 
@@ -305,7 +306,7 @@ def direct_source(
         )
         if titles is not None and target in ("episodes", "episode_likes", "comments"):
             docs = of_titles(docs, titles)
-        return compact_shape(docs, platform, target, all_weekdays=True)
+        return compact_shape(docs, platform, target, all_weekdays)
 
     return read
 
