@@ -11,18 +11,24 @@ from quirelake.conventions import (
 )
 
 
+# one literal map, folded once per query
+_RELEASE_DAYS = "map({})".format(
+    ", ".join(
+        f"'{name}', {code}"
+        for code, names in WEEKDAY_SPELLINGS.items()
+        for name in names
+    )
+)
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def release_day(weekday) -> Column:
     """Weekday in any known spelling -> 0 (Monday) .. 6, otherwise 7."""
-    weekday = _col(weekday)
-    hits = [
-        F.when(weekday.isin(*names), F.lit(code))
-        for code, names in WEEKDAY_SPELLINGS.items()
-    ]
-    return F.coalesce(*hits, F.lit(OTHER_RELEASE_DAY))
+    codes = F.try_element_at(F.expr(_RELEASE_DAYS), _col(weekday))
+    return F.coalesce(codes, F.lit(OTHER_RELEASE_DAY))
 
 
 def weekday_key(date) -> Column:

@@ -12,7 +12,7 @@ The inputs must be distinct rows: spreading hashes the whole row.
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
@@ -93,30 +93,31 @@ def place(
 
     ``heavy`` holds at most ``max_keys`` rows, hence the broadcast.
     """
-    row_hash = F.xxhash64(*df.columns)
-    one_salt = F.array(F.pmod(row_hash, F.col(_SALTS)).cast("int"))
-    all_salts = F.sequence(F.lit(0), F.col(_SALTS) - 1)
-    salts = (
-        F.when(F.col(_OWNER) == side, one_salt)
-        .when(F.col(_OWNER).isNotNull(), all_salts)
-        .otherwise(F.array(F.lit(0)))
-    )
-    if preserved:
-        unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        piece = F.pmod(row_hash, F.lit(policy.null_salts)).cast("int")
-        salts = F.when(unmatched, F.array(piece)).otherwise(salts)
+    columns = df.columns
+    row_hash = "xxhash64({})".format(", ".join(f"`{c}`" for c in columns))
+    unmatched = " OR ".join(f"`{k}` IS NULL" for k in keys) if preserved else "false"
+    salts = f"""
+        CASE WHEN {unmatched} THEN array(int(pmod({row_hash}, {policy.null_salts})))
+             WHEN {_OWNER} = '{side}' THEN array(int(pmod({row_hash}, {_SALTS})))
+             WHEN {_OWNER} IS NOT NULL THEN sequence(0, {_SALTS} - 1)
+             ELSE array(0)
+        END"""
     marked = df.join(F.broadcast(heavy), keys, "left")
-    return marked.select(*df.columns, _OWNER, F.explode(salts).alias(_SALT))
+    return marked.select(*columns, _OWNER, F.expr(f"explode({salts})").alias(_SALT))
 
 
 def with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that can be joined at all; stated early, so every use shares one scan."""
-    return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    return df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+
 
+def _met(hit: str, *owners: str) -> str:
+    """Leaves out a repeated row that met no partner on its salt.
 
-def _empty_salt(hit: Column, *owners: str) -> Column:
-    """A repeated row that met no partner on its salt; it meets one on another."""
-    return F.coalesce(F.col(_OWNER).isin(*owners), F.lit(False)) & hit.isNull()
+    It meets one on another salt: the owner of its key has rows.
+    """
+    listed = ", ".join(f"'{owner}'" for owner in owners)
+    return f"{hit} IS NOT NULL OR {_OWNER} IS NULL OR {_OWNER} NOT IN ({listed})"
 
 
 def left_join(
@@ -135,7 +136,7 @@ def left_join(
         [*keys, _SALT],
         "left",
     )
-    kept = joined.where(~_empty_salt(F.col(_HIT), "right"))
+    kept = joined.where(_met(_HIT, "right"))
     added = [c for c in right.columns if c not in keys]
     return kept.select(*left.columns, *added)
 
@@ -164,11 +165,11 @@ def chained_left_join(
     tail = place(third, "third", heavy, keys, policy).drop(_OWNER)
 
     pair = middle.join(tail.withColumn("__hit_third", F.lit(True)), on, "left")
-    pair = pair.where(~_empty_salt(F.col("__hit_third"), "third"))
+    pair = pair.where(_met("__hit_third", "third"))
     pair = pair.drop(_OWNER, "__hit_third").withColumn(_HIT, F.lit(True))
 
     joined = head.join(pair, on, "left")
-    kept = joined.where(~_empty_salt(F.col(_HIT), "second", "third"))
+    kept = joined.where(_met(_HIT, "second", "third"))
     added = [c for df in (second, third) for c in df.columns if c not in keys]
     return kept.select(*first.columns, *added)
 
@@ -191,8 +192,8 @@ def star_left_join(
     tail = place(third, "third", heavy, keys, policy).drop(_OWNER)
 
     pair = head.join(middle.withColumn(_HIT, F.lit(True)), on, "left")
-    pair = pair.where(~_empty_salt(F.col(_HIT), "second")).drop(_HIT)
+    pair = pair.where(_met(_HIT, "second")).drop(_HIT)
     joined = pair.join(tail.withColumn(_HIT, F.lit(True)), on, "left")
-    kept = joined.where(~_empty_salt(F.col(_HIT), "third"))
+    kept = joined.where(_met(_HIT, "third"))
     added = [c for df in (second, third) for c in df.columns if c not in keys]
     return kept.select(*first.columns, *added)
