@@ -1,9 +1,14 @@
 """One query per operator, over its whole table."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quirelake.llm.bpe import round_trips
+from quirelake.llm.mixing import mix
 from quirelake.llm.ngram_join import ngram_groups
+from quirelake.llm.quality import quality_rules
 from quirelake.llm.registry import QUERIES, SQL, query, table
+from quirelake.llm.token_counts import token_counts
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -11,3 +16,26 @@ __all__ = ["QUERIES", "SQL"]
 @query("op1_ngram_join")
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_rules")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op7_mixing")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_bpe")
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return round_trips(table(spark, sf_dir, "documents"), path)
+
+
+@query("op9_token_counts")
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(table(spark, sf_dir, "documents"), path)
