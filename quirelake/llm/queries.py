@@ -2,13 +2,16 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quirelake.llm.bpe import round_trips
 from quirelake.llm.mixing import mix
 from quirelake.llm.ngram_join import ngram_groups
 from quirelake.llm.quality import quality_rules
 from quirelake.llm.registry import QUERIES, SQL, query, table
+from quirelake.llm.secret_scan import secret_scan
 from quirelake.llm.token_counts import token_counts
+from quirelake.llm.toxicity import toxicity as toxicity_scores
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -39,3 +42,21 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts(table(spark, sf_dir, "documents"), path)
+
+
+@query("op2_secret_scan")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "word_no", "part_no", F.md5("candidate").alias("candidate_md5"),
+                        F.length("candidate").alias("n_chars"), "score", "is_secret")
+
+
+@query("op3_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = "crc32(CAST(doc_id AS string)) % 5"
+    scores = toxicity_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), f"{remainder} <> 0"
+    )
+    held_out = F.coalesce(F.expr(f"{remainder} = 0"), F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
