@@ -4,10 +4,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirelake.llm.ann_forest import nearest
 from quirelake.llm.bpe import round_trips
+from quirelake.llm.compact_windows import repeated_passages
 from quirelake.llm.mixing import mix
 from quirelake.llm.ngram_join import ngram_groups
 from quirelake.llm.quality import quality_rules
+from quirelake.llm.quotes import chat_text, linked
 from quirelake.llm.registry import QUERIES, SQL, query, table
 from quirelake.llm.secret_scan import secret_scan
 from quirelake.llm.token_counts import token_counts
@@ -60,3 +63,18 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.expr(f"{remainder} = 0"), F.lit(False))
     return scores.select("doc_id", held_out.alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_prefix_forest")
+def forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+@query("op8_compact_windows")
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quotation_links")
+def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_text(linked(table(spark, sf_dir, "conversations")))
