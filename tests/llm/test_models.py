@@ -1,0 +1,150 @@
+"""Operators that learn, search or link, against brute force and planted cases."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from quirelake.llm import secret_scan, toxicity
+from quirelake.llm.ann_forest import nearest
+from quirelake.llm.quotes import chat_text, linked
+
+
+def test_folding():
+    assert toxicity.folded("1d10t! $tupid, 2024 a|l") == " idiot stupid ail "
+    assert toxicity.folded("mоrоn") == " moron "  # Cyrillic o
+    assert not toxicity.folded("").strip()
+
+
+def test_lexicon_is_learned_and_exceptions_spare(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("bcdfghk", k=5)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(400):
+        text = " ".join(rng.choices(words, k=30))
+        if i % 4 == 0:
+            text += " you l0ser and mоron " + " ".join(rng.choices(words, k=10))
+        elif i % 4 == 1:
+            text += " a sore loser said"
+        rows.append((i, text, "x"))
+        labels.append((i, int(i % 4 == 0)))
+    rows += [(1000, None, "x"), (1001, "", "x"), (None, "moron loser moron", "x"), rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string")
+    marks = spark.createDataFrame(labels + [(5, None)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, marks, "doc_id % 5 <> 0").collect()
+    assert len(got) == len(rows)
+    score = {r.doc_id: r.score for r in got}
+    assert all(0 <= s <= 1 for s in score.values())
+    held = [i for i in range(0, 400, 5)]
+    right = sum((score[i] >= 0.5) == (i % 4 == 0) for i in held)
+    assert right >= 0.95 * len(held)
+    assert score[1000] == score[1001] < 0.5 <= score[None]
+    empty = toxicity.toxicity(docs, marks.limit(0))
+    assert all(r.score == pytest.approx(1 / (1 + np.exp(4))) for r in empty.collect())
+
+
+def secret_rows():
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        hexed = "".join(rng.choices("0123456789abcdef", k=40))
+        key = "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOP0123456789", k=15)) + "7"
+        number = "".join(rng.choices("0123456789", k=16))
+        words = "some plain words about nothing of importance"
+        tail = (f'token = "{hexed}"', key, f"password={hexed[:18]}", number, "chapter-twenty-one2")
+        rows.append((i, f"{words} {tail[i % 5]} {words}", f"src{i % 3}/a"))
+    return rows
+
+
+def test_secrets_are_found_and_masked(spark):
+    rows = secret_rows() + [(None, None, None), (900, "", "p"), secret_rows()[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secret_scan.secret_scan(docs).collect()
+    for r in found:
+        if r.doc_id is not None and r.doc_id < 200:
+            assert r.is_secret == (r.doc_id % 5 < 3), r
+    assert {r.doc_id for r in found if r.is_secret} == {i for i in range(200) if i % 5 < 3}
+    masked = secret_scan.redacted(docs)
+    assert masked.columns == docs.columns and masked.count() == len(rows)
+    for r in masked.collect():
+        if r.doc_id is not None and r.doc_id < 200:
+            assert (secret_scan.MASK in r.text) == (r.doc_id % 5 < 3)
+            assert not re.search("[0-9a-f]{18}", r.text) or r.doc_id % 5 == 3
+    assert secret_scan.secret_scan(docs.limit(0)).count() == 0
+
+
+def test_native_plans(spark):
+    docs = spark.createDataFrame(secret_rows(), "doc_id long, text string, source string")
+    messages = spark.createDataFrame([(1, 0, "u", "x")], "conv_id long, turn long, role string, text string")
+    for df in (secret_scan.secret_scan(docs), secret_scan.redacted(docs), linked(messages)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def brute_nearest(rows, k):
+    good = [(i, np.array(v)) for i, v in rows
+            if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = set()
+    for i, v in good:
+        if i % 50 == 0:
+            near = sorted(
+                (-float(v @ w / np.sqrt(v @ v) / np.sqrt(w @ w)), j) for j, w in good
+                if j != i and len(w) == len(v)
+            )
+            out |= {(i, n + 1, j) for n, (_, j) in enumerate(near[:k])}
+    return out
+
+
+def test_nearest_is_exact_on_small_tables(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(16).round(3).tolist()) for i in range(300)]
+    rows[7] = (7, rows[50][1])
+    rows += [(300, rows[100][1]), (400, None), (450, [0.0] * 16), (500, [1.0, None] * 8),
+             (550, [float("nan")] * 16), (None, rows[1][1]), (600, []), rows[3]]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, rank string")
+    got = nearest(df, "vec_id % 50 = 0")
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got.collect()} == brute_nearest(rows, 5)
+    assert nearest(df.limit(0), "vec_id % 50 = 0").count() == 0
+
+
+def test_forest_recall(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(32).tolist()) for i in range(9_000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest(df, "vec_id % 900 = 0").collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    vectors = np.array([v for _, v in rows])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q, near in found.items():
+        order = np.argsort(-(vectors @ vectors[q]))
+        hits += len(near & set(order[1:6].tolist()))
+    assert hits >= 0.9 * 5 * 10
+
+
+def test_quotes_are_linked(spark):
+    rows = [
+        (1, 0, "user", "Hello there\nHow are you?"),
+        (1, 1, "assistant", "> Hello there\n> how are YOU\nFine"),
+        (1, 2, "user", "> > Hello there\n> Fine\nGreat"),
+        (1, 3, "assistant", ">How are you?\nLate answer"),
+        (1, 7, "user", None),
+        (2, 0, "user", "> Fine\nfrom elsewhere"),
+        (None, None, "user", "nowhere"),
+        (1, 7, "user", None),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = linked(df)
+    place = {(r.conv_id, r.turn): r for r in got.collect()}
+    assert got.count() == len(rows)
+    parents = {k: (r.parent_turn, r.by_quote, r.root_turn, r.depth) for k, r in place.items()}
+    assert parents == {
+        (1, 0): (None, False, 0, 0), (1, 1): (0, True, 0, 1), (1, 2): (1, True, 0, 2),
+        (1, 3): (0, True, 0, 1), (1, 7): (None, False, 7, 0), (2, 0): (None, False, 0, 0),
+        (None, None): (None, False, None, 0),
+    }
+    assert place[1, 2].message == "Great" and place[1, 7].message == ""
+    assert chat_text(got).where("turn = 3").first().chat == "<|assistant|>\nLate answer\n"
+    assert linked(df.limit(0)).count() == 0
