@@ -12,7 +12,7 @@ from quirelake.llm.quotes import chat_text, linked
 
 
 def test_folding():
-    assert toxicity.folded("1d10t! $tupid, 2024 a|l") == " idiot stupid ail "
+    assert toxicity.folded("1d10t! $tupid, 2024 a|l") == " idiot stupid all "
     assert toxicity.folded("mоrоn") == " moron "  # Cyrillic o
     assert not toxicity.folded("").strip()
 
