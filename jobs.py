@@ -76,7 +76,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             spark, args.root, dates, platforms, folders=args.folders, mode=args.mode
         )
     if args.command == "read" or args.show:
-        on = None if args.all_dates else dates[0]
+        on = None if args.all_dates else dates
         shown = READER_PREVIEW_ROWS if args.command == "read" else JOB_PREVIEW_ROWS
         for table, frame in runs.read_scope(spark, args.root, on, args.platform).items():
             print(table)

@@ -86,8 +86,13 @@ def top_rows(
 
 
 def latest_episodes(episodes: DataFrame, rows: int) -> DataFrame:
-    """The newest episodes per title, by number."""
-    return top_rows(episodes, ["title_id"], [F.desc("id")], rows)
+    """The newest episodes per title, by number.
+
+    Titles are told apart by platform, and landings by date, where the columns are
+    there; an episode that landed twice counts once.
+    """
+    by = [c for c in ("platform", "landing_date", "title_id") if c in episodes.columns]
+    return top_rows(episodes.dropDuplicates([*by, "id"]), by, [F.desc("id")], rows)
 
 
 def kakao_listed_episodes(df: DataFrame) -> DataFrame:
@@ -106,8 +111,10 @@ def free_episodes(episodes: DataFrame) -> DataFrame:
 
 def uncovered(titles: DataFrame, episode_counts: DataFrame) -> DataFrame:
     """Titles whose episode count is missing or 0."""
-    counted = episode_counts.where(F.col("episodes") > 0).select("title_id").distinct()
-    return titles.join(counted, "title_id", "left_anti")
+    both = [c for c in ("platform", "title_id")
+            if c in titles.columns and c in episode_counts.columns]
+    counted = episode_counts.where(F.col("episodes") > 0).select(*both).distinct()
+    return titles.join(counted, both, "left_anti")
 
 
 # --- quality flags (R10) ---------------------------------------------------------
@@ -135,7 +142,8 @@ def articles_flags(docs: DataFrame) -> DataFrame:
 def listing_flags(docs: DataFrame) -> DataFrame:
     """Title lists with an item that is no title."""
     odd = F.exists(
-        F.flatten(F.map_values("titleListMap")), lambda t: t["titleId"].isNull()
+        F.map_values("titleListMap"),
+        lambda listed: F.coalesce(F.exists(listed, lambda t: t["titleId"].isNull()), F.lit(False)),
     )
     return docs.withColumn("odd_items", F.coalesce(odd, F.lit(False)))
 

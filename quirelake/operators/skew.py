@@ -25,15 +25,10 @@ _HIT = "__hit"
 class SkewPolicy:
     """When a key counts as heavy.
 
-    min_rows:   rows of one key that one task may take; also the rows per salt
-    max_keys:   most heavy keys looked after; bounds the broadcast table.  Any
-                further key holds less than 1 / max_keys of all rows
-    null_salts: pieces for preserved rows with a NULL key, which match nothing
+    min_rows: rows of one key that one task may take; also the rows per salt
     """
 
     min_rows: int = 1_000_000
-    max_keys: int = 10_000
-    null_salts: int = 1_024
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -49,8 +44,10 @@ def heavy_keys(
     policy: SkewPolicy,
     needs: dict[str, str] | None = None,
 ) -> DataFrame:
-    """At most ``max_keys`` heavy keys with their owner side and salt count.
+    """All heavy keys with their owner side and salt count.
 
+    There is at most one for ``min_rows`` rows.  How the table reaches the sides
+    is left to Spark, which knows its size by then.
     ``needs`` names, for a side, another side without which its rows of a key
     can never be joined; it owns no key that the other side lacks.
     """
@@ -69,15 +66,10 @@ def heavy_keys(
     }
     most = F.greatest(*counts.values())
     owner = F.coalesce(*[F.when(n == most, F.lit(side)) for side, n in counts.items()])
-    return (
-        per_key.where(most >= policy.min_rows)
-        .select(
-            *keys,
-            owner.alias(_OWNER),
-            F.ceil(most / policy.min_rows).cast("int").alias(_SALTS),
-        )
-        .orderBy(F.desc(_SALTS), *keys)
-        .limit(policy.max_keys)
+    return with_keys(per_key.where(most >= policy.min_rows), keys).select(
+        *keys,
+        owner.alias(_OWNER),
+        F.ceil(most / policy.min_rows).cast("int").alias(_SALTS),
     )
 
 
@@ -86,23 +78,23 @@ def place(
     side: str,
     heavy: DataFrame,
     keys: list[str],
-    policy: SkewPolicy,
     preserved: bool = False,
 ) -> DataFrame:
     """Add the salt: spread the rows of owned keys, repeat those of others' keys.
 
-    ``heavy`` holds at most ``max_keys`` rows, hence the broadcast.
+    Preserved rows with a NULL key match nothing; each gets a salt of its own
+    hash, so they lie wherever there is room.
     """
     columns = df.columns
     row_hash = "xxhash64({})".format(", ".join(f"`{c}`" for c in columns))
     unmatched = " OR ".join(f"`{k}` IS NULL" for k in keys) if preserved else "false"
     salts = f"""
-        CASE WHEN {unmatched} THEN array(int(pmod({row_hash}, {policy.null_salts})))
+        CASE WHEN {unmatched} THEN array(int(pmod({row_hash}, 2147483647)))
              WHEN {_OWNER} = '{side}' THEN array(int(pmod({row_hash}, {_SALTS})))
              WHEN {_OWNER} IS NOT NULL THEN sequence(0, {_SALTS} - 1)
              ELSE array(0)
         END"""
-    marked = df.join(F.broadcast(heavy), keys, "left")
+    marked = df.join(heavy, keys, "left")
     return marked.select(*columns, _OWNER, F.expr(f"explode({salts})").alias(_SALT))
 
 
@@ -129,8 +121,8 @@ def left_join(
     """``left`` left outer join ``right`` on equal keys (both distinct)."""
     right = with_keys(right, keys)
     heavy = heavy_keys({"left": left, "right": right}, keys, policy)
-    placed_left = place(left, "left", heavy, keys, policy, preserved=True)
-    placed_right = place(right, "right", heavy, keys, policy)
+    placed_left = place(left, "left", heavy, keys, preserved=True)
+    placed_right = place(right, "right", heavy, keys)
     joined = placed_left.join(
         placed_right.drop(_OWNER).withColumn(_HIT, F.lit(True)),
         [*keys, _SALT],
@@ -160,9 +152,9 @@ def chained_left_join(
     heavy = heavy_keys(sides, keys, policy, needs={"third": "second"})
     on = [*keys, _SALT]
 
-    head = place(first, "first", heavy, keys, policy, preserved=True)
-    middle = place(second, "second", heavy, keys, policy)
-    tail = place(third, "third", heavy, keys, policy).drop(_OWNER)
+    head = place(first, "first", heavy, keys, preserved=True)
+    middle = place(second, "second", heavy, keys)
+    tail = place(third, "third", heavy, keys).drop(_OWNER)
 
     pair = middle.join(tail.withColumn("__hit_third", F.lit(True)), on, "left")
     pair = pair.where(_met("__hit_third", "third"))
@@ -187,9 +179,9 @@ def star_left_join(
     heavy = heavy_keys(sides, keys, policy)
     on = [*keys, _SALT]
 
-    head = place(first, "first", heavy, keys, policy, preserved=True)
-    middle = place(second, "second", heavy, keys, policy).drop(_OWNER)
-    tail = place(third, "third", heavy, keys, policy).drop(_OWNER)
+    head = place(first, "first", heavy, keys, preserved=True)
+    middle = place(second, "second", heavy, keys).drop(_OWNER)
+    tail = place(third, "third", heavy, keys).drop(_OWNER)
 
     pair = head.join(middle.withColumn(_HIT, F.lit(True)), on, "left")
     pair = pair.where(_met(_HIT, "second")).drop(_HIT)

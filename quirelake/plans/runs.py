@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.conventions import BACKUP_FILES, KAKAO, NAVER, PLATFORMS, TARGETS
+from quirelake.conventions import KAKAO, NAVER, PLATFORMS, TARGETS
 from quirelake.operators import curation, views
 from quirelake.operators.compacted import compact_shape
 from quirelake.operators.skew import DEFAULT_POLICY, SkewPolicy
@@ -352,7 +352,7 @@ def backup_direct(
     read: Source,
     root: str,
     platforms: Iterable[str] = PLATFORMS,
-    max_files: int | None = BACKUP_FILES,
+    max_files: int | None = None,
 ) -> None:
     """K4: back up the flat views of a direct run, replacing the last backup."""
     for platform in platforms:
@@ -363,11 +363,11 @@ def backup_direct(
 def read_scope(
     spark: SparkSession,
     root: str,
-    on: date | None = None,
+    dates: Iterable[date] | None = None,
     platform: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The curated tables, all of them, of a date, or of a date and platform."""
-    dates = None if on is None else [on]
+    """The curated tables, all of them, of some dates, or of some dates and a platform."""
+    dates = None if dates is None else list(dates)
     platforms = None if platform is None else [platform]
     return {
         table: read_curated(spark, root, table, dates, platforms)

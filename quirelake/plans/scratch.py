@@ -1,26 +1,16 @@
 """A folder for the tables that some queries write and read back."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL: dict[str, str] = {}
-
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder of the session.
+    """A new folder below spark.checkpoint.dir, or else below the warehouse.
 
-    Only a local session without that setting gets a temporary folder of its
-    own; on a cluster, executors could not see it.
+    Both are places that all executors share.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        application = context.applicationId
-        if application not in _LOCAL:
-            _LOCAL[application] = tempfile.mkdtemp(prefix="quirelake-")
-        shared = _LOCAL[application]
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

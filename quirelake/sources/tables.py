@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake import schemas
-from quirelake.conventions import BACKUP_FILES, PARTITION_COLUMNS, READER_PREVIEW_ROWS
+from quirelake.conventions import PARTITION_COLUMNS, READER_PREVIEW_ROWS
 from quirelake.sources.layout import (
     backup_path,
     braces,
@@ -201,7 +201,7 @@ def backup(
     root: str,
     platform: str,
     target: str,
-    max_files: int | None = BACKUP_FILES,
+    max_files: int | None = None,
 ) -> None:
     """K4: replace the backup of a frame."""
     path = backup_path(root, platform, target)

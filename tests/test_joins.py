@@ -14,7 +14,7 @@ from quirelake.operators.skew import (
 from tests.conftest import rows
 
 KEYS = ["k", "j"]
-POLICY = SkewPolicy(min_rows=3, max_keys=2, null_salts=2)
+POLICY = SkewPolicy(min_rows=3)
 
 key = st.one_of(st.none(), st.integers(0, 3))
 side = st.lists(st.tuples(key, st.sampled_from([0, 0, 0, None]), st.integers(0, 9)), max_size=25)
@@ -67,7 +67,7 @@ def test_each_side_can_own_a_heavy_key(spark):
     b = [(1, 0, 1), (3, 0, 1)] + [(2, 0, i) for i in range(20)]
     c = [(1, 0, 1), (2, 0, 1)] + [(k, 0, i) for k in (3, 4) for i in range(20)]
     first, second, third = frame(spark, a, "a"), frame(spark, b, "b"), frame(spark, c, "c")
-    policy = SkewPolicy(min_rows=5, max_keys=10, null_salts=3)
+    policy = SkewPolicy(min_rows=5)
     owners = heavy_keys(
         {"first": first, "second": second, "third": third},
         KEYS,

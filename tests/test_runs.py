@@ -91,7 +91,7 @@ def test_random_documents(spark, tmp_path, seed, variant):
     docs = landed.random_docs(seed)
     root = lake(tmp_path, docs)
     source = runs.direct_source(spark, root, BOTH, all_weekdays=variant.all_weekdays)
-    spread = SkewPolicy(min_rows=2, null_salts=3)
+    spread = SkewPolicy(min_rows=2)
     expected = brute.curated(docs, BOTH, variant)
     for table, frame in runs.curate_tables(source, variant=variant, policy=spread).items():
         dated = frame.selectExpr(
