@@ -140,12 +140,16 @@ def articles_flags(docs: DataFrame) -> DataFrame:
 
 
 def listing_flags(docs: DataFrame) -> DataFrame:
-    """Title lists with an item that is no title."""
+    """Title lists with an item that is no title.
+
+    Items that are no objects are seen where documents are read, with ``report``.
+    """
     odd = F.exists(
         F.map_values("titleListMap"),
         lambda listed: F.coalesce(F.exists(listed, lambda t: t["titleId"].isNull()), F.lit(False)),
     )
-    return docs.withColumn("odd_items", F.coalesce(odd, F.lit(False)))
+    odd = F.coalesce(odd, F.lit(False))
+    return docs.withColumn("odd_items", odd | F.col("odd_items") if "odd_items" in docs.columns else odd)
 
 
 def exceptions(flagged: DataFrame, flag: str, key: Column) -> DataFrame:

@@ -14,7 +14,7 @@ from quirelake.conventions import (
     NAVER,
     READER_PREVIEW_ROWS,
 )
-from quirelake.operators import compacted, curation, views
+from quirelake.operators import compacted, curation, frontier, views
 from quirelake.plans import runs
 from quirelake.plans import star_docs as docs
 from quirelake.plans.curation_queries import _EPISODE_SQL
@@ -27,6 +27,7 @@ from quirelake.sources import (
     of_titles,
     preview,
     read_curated,
+    read_files,
     read_landing,
     read_optimized,
     register_views,
@@ -73,6 +74,36 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return episodes.select("title_id", "id", "title", "image_url", "landing_date")
 
 
+@query("""
+    SELECT p_partkey AS title_id, unnest(['MONDAY', 'THURSDAY', 'THURSDAY']) AS kind
+    FROM part WHERE p_size > 5
+    UNION ALL SELECT p_partkey, 'odd_items' FROM part WHERE p_size > 25
+    UNION ALL SELECT NULL, 'unreadable' FROM part WHERE p_size <= 5
+""")
+def listing_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good titles beside items that are none, and listings cut in the middle."""
+    path = f"{landing_folder(scratch(spark), NAVER, 'titles')}/{LANDED_ON:%Y/%m/%d}"
+    title = F.to_json(F.struct(F.col("p_partkey").alias("titleId"), F.col("p_name").alias("titleName")))
+    odd = F.when(F.col("p_size") > 25, '"oops", ').otherwise("")
+    whole = F.format_string(
+        '{"titleListMap": {"MONDAY": [%s], "FRIDAY": null, "THURSDAY": [%s, %s%s]}}',
+        title, title, odd, title,
+    )
+    cut = F.when(F.col("p_size") > 5, whole).otherwise(F.expr("left(whole, length(whole) - 9)"))
+    part = table(spark, sf_dir, "part").withColumn("whole", whole)
+    part.select(cut.alias("value")).write.text(path)
+    read = read_files(spark, path, NAVER, "titles", multiline=False, report=True, files="*.txt")
+    flagged = frontier.listing_flags(read)
+    titles = compacted.titles_of_all_weekdays(read)
+    first = F.get(F.element_at("titleListMap", "MONDAY"), F.lit(0))["titleId"]
+    return (
+        titles.select(F.col("title.titleId").alias("title_id"), F.col("weekday_str").alias("kind"))
+        .unionByName(flagged.where("odd_items").select(first.alias("title_id"), F.lit("odd_items").alias("kind")))
+        .unionByName(flagged.where("unreadable").select(
+            F.lit(None).cast("bigint").alias("title_id"), F.lit("unreadable").alias("kind")))
+    )
+
+
 @query("SELECT DISTINCT event_type AS folder, TRUE AS has_content FROM events")
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The folders of landed files, from the listing alone."""

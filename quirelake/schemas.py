@@ -73,6 +73,20 @@ LANDING = {
     (KAKAO, "comments"): "meta struct<pagination: struct<totalCount: bigint>>",
 }
 
+# Listings whose items are read one by one, so that an odd item costs only itself.
+LISTED = {
+    (NAVER, "titles"): "titleListMap map<string, array<variant>>",
+    (NAVER, "finished_titles"): "titleList array<variant>, pageInfo struct<totalPages: bigint>",
+}
+LISTED_FIELDS = {
+    "titleId": "bigint",
+    "titleName": "string",
+    "author": "string",
+    "viewCount": "bigint",
+    "thumbnailUrl": "string",
+}
+CORRUPT_COLUMN = "_corrupt_record"
+
 _PROVENANCE = ", filename string"
 _PARTITIONS = ", year int, month int, day int, platform string"
 

@@ -2,21 +2,31 @@
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions import landing_date, path_title
-from quirelake.schemas import LANDING, OPAQUE, VARIANT_COLUMN
+from quirelake.schemas import (
+    CORRUPT_COLUMN,
+    LANDING,
+    LISTED,
+    LISTED_FIELDS,
+    OPAQUE,
+    VARIANT_COLUMN,
+)
 from quirelake.sources.layout import file_pattern, landing_folder, landing_path
 
 
-def _options(platform: str, target: str, multiline: bool) -> dict[str, str]:
+def _options(platform: str, target: str, multiline: bool, files: str) -> dict[str, str]:
     options = {
         "multiLine": str(multiline).lower(),
         "recursiveFileLookup": "true",
-        "pathGlobFilter": "*.json",
+        "pathGlobFilter": files,
+        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
     }
     if (platform, target) in OPAQUE:
         options["singleVariantColumn"] = VARIANT_COLUMN
@@ -35,13 +45,61 @@ def at_depth(docs: DataFrame, target: str) -> DataFrame:
 
 
 def landing_reader(
-    reader, platform: str, target: str, schema: str | None = None, multiline: bool = True
+    reader,
+    platform: str,
+    target: str,
+    schema: str | None = None,
+    multiline: bool = True,
+    report: bool = False,
+    files: str = "*.json",
 ):
     """Settings shared by the batch reader and the stream reader."""
-    reader = reader.options(**_options(platform, target, multiline))
+    reader = reader.options(**_options(platform, target, multiline, files))
     if (platform, target) in OPAQUE:
         return reader
-    return reader.schema(schema or LANDING[platform, target])
+    pinned = schema or LISTED.get((platform, target)) or LANDING[platform, target]
+    return reader.schema(f"{pinned}, {CORRUPT_COLUMN} string" if report else pinned)
+
+
+def _is_object(item: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(item).startswith("OBJECT"), F.lit(False))
+
+
+def _listed(items: Column) -> Column:
+    return F.transform(
+        F.filter(items, _is_object),
+        lambda item: F.struct(*[
+            F.try_variant_get(item, f"$.{name}", kind).alias(name)
+            for name, kind in LISTED_FIELDS.items()
+        ]),
+    )
+
+
+def _has_odd(items: Column) -> Column:
+    return F.coalesce(F.exists(items, lambda item: ~_is_object(item)), F.lit(False))
+
+
+def by_item(docs: DataFrame, itemwise: bool, report: bool = False) -> DataFrame:
+    """Listings read item by item: an item that is no object goes, the others stay; a field
+    of another kind than expected is NULL.
+
+    ``report`` adds ``odd_items``, documents that hold such an item or a field that does
+    not parse, and ``unreadable``, those of which nothing parses.
+    """
+    odd, listed = F.lit(False), {}
+    if itemwise and "titleListMap" in docs.columns:
+        odd = F.exists(F.map_values("titleListMap"), _has_odd)
+        listed["titleListMap"] = F.transform_values("titleListMap", lambda _, items: _listed(items))
+    if itemwise and "titleList" in docs.columns:
+        odd = _has_odd(F.col("titleList"))
+        listed["titleList"] = _listed(F.col("titleList"))
+    if report:
+        corrupt = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in docs.columns else F.lit(None)
+        fields = [c for c in docs.columns if c not in (CORRUPT_COLUMN, "filename", "landing_date")]
+        nothing = reduce(and_, [F.col(c).isNull() for c in fields])
+        listed["odd_items"] = F.coalesce(odd, F.lit(False)) | (corrupt.isNotNull() & ~nothing)
+        listed["unreadable"] = corrupt.isNotNull() & nothing
+    return docs.withColumns(listed).drop(CORRUPT_COLUMN) if listed else docs
 
 
 def read_files(
@@ -51,19 +109,27 @@ def read_files(
     target: str,
     schema: str | None = None,
     multiline: bool = True,
+    report: bool = False,
+    files: str = "*.json",
 ) -> DataFrame:
     """S3: documents of the given files or globs.
 
-    ``schema`` pins more fields than the default; ``multiline=False`` reads
-    files that hold one document per line, which Spark can split.
+    ``schema`` pins more fields than the default, and has listings read as a whole;
+    ``multiline=False`` reads files that hold one document per line, which Spark can
+    split. ``report`` adds the columns ``odd_items`` and ``unreadable``, see ``by_item``;
+    targets kept as VARIANT are not looked into. ``files`` is the pattern of file names.
     """
-    reader = landing_reader(spark.read, platform, target, schema, multiline)
-    return with_provenance(reader.json(paths))
+    reader = landing_reader(spark.read, platform, target, schema, multiline, report, files)
+    docs = with_provenance(reader.json(paths))
+    return by_item(docs, not schema and (platform, target) in LISTED, report)
 
 
-def no_documents(spark: SparkSession, platform: str, target: str) -> DataFrame:
+def no_documents(
+    spark: SparkSession, platform: str, target: str, report: bool = False
+) -> DataFrame:
     ddl = f"{LANDING[platform, target]}, filename string, landing_date date"
-    return spark.createDataFrame([], ddl)
+    flags = ", odd_items boolean, unreadable boolean" if report else ""
+    return spark.createDataFrame([], ddl + flags)
 
 
 def read_landing(
@@ -75,19 +141,21 @@ def read_landing(
     folders: Iterable[str] | None = None,
     schema: str | None = None,
     multiline: bool = True,
+    report: bool = False,
 ) -> DataFrame:
     """Documents of a target, in one scan over all given dates.
 
-    Nothing landed for the dates gives an empty frame, not an error.
+    Nothing landed for the dates gives an empty frame, not an error. ``report`` adds
+    the columns ``odd_items`` and ``unreadable``, see ``by_item``.
     """
     path = landing_path(root, platform, target, dates, folders)
     try:
-        docs = read_files(spark, path, platform, target, schema, multiline)
+        docs = read_files(spark, path, platform, target, schema, multiline, report)
         return at_depth(docs, target)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return no_documents(spark, platform, target)
+        return no_documents(spark, platform, target, report)
 
 
 def of_titles(docs: DataFrame, titles: DataFrame) -> DataFrame:

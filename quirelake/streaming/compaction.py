@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quirelake.conventions import MERGED_FILES_PER_BATCH
-from quirelake.schemas import LANDING
+from quirelake.schemas import LANDING, LISTED
 from quirelake.sources.landing import (
     at_depth,
+    by_item,
     landing_reader,
     no_documents,
     with_provenance,
@@ -54,7 +55,8 @@ def start_compaction(
     )
     path = landing_path(root, platform, target, dates)
     try:
-        docs = at_depth(with_provenance(source.json(path)), target)
+        docs = by_item(with_provenance(source.json(path)), not schema and (platform, target) in LISTED)
+        docs = at_depth(docs, target)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirelake.operators import frontier
-from quirelake.sources import read_landing
+from quirelake.sources import read_files, read_landing
 from tests import landed
 from tests.conftest import rows
-from tests.landed import DAY1
+from tests.landed import DAY1, DAY2
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,36 @@ def test_flags(docs):
     lists = frontier.articles_flags(docs("naver", "episodes"))
     assert rows(lists.where("no_articles"), "titleId") == [(9,)]
     assert frontier.listing_flags(docs("naver", "titles")).where("odd_items").count() == 0
+
+
+def test_odd_items_and_unreadable_listings(spark, tmp_path):
+    folder = tmp_path / "raw/naver/titles/2025/02/27"
+    folder.mkdir(parents=True)
+    texts = {
+        "odd": '{"titleListMap": {"MONDAY": [{"titleId": 1}, "oops", 7, null, {"titleId": 2}],'
+        ' "TUESDAY": null, "FRIDAY": [{"titleId": 3, "author": ["a"], "viewCount": "many"}]}}',
+        "fine": '{"titleListMap": {"MONDAY": [{"titleId": 4, "titleName": "t", "more": 1}]}}',
+        "cut": '{"titleListMap": {"MONDAY": [{"titleId": 5}, {"titl',
+        "nameless": '{"titleListMap": {"MONDAY": [{"titleName": "t"}]}}',
+        "empty": "{}",
+    }
+    for name, text in texts.items():
+        (folder / f"{name}").mkdir()
+        (folder / f"{name}/titles.json").write_text(text)
+    path = str(folder)
+    docs = read_files(spark, path, "naver", "titles", report=True)
+    ids = frontier.naver_title_ids(docs)
+    assert rows(ids.where("title_id IS NOT NULL")) == [(1,), (2,), (3,), (4,)]
+    name = F.element_at(F.split("filename", "/"), -2)
+    flags = frontier.listing_flags(docs).select(name, "odd_items", "unreadable")
+    assert rows(flags) == [
+        ("cut", False, True), ("empty", False, False), ("fine", False, False),
+        ("nameless", True, False), ("odd", True, False),
+    ]
+    plain = read_files(spark, path, "naver", "titles")
+    assert rows(frontier.naver_title_ids(plain).where("title_id IS NOT NULL")) == rows(
+        ids.where("title_id IS NOT NULL")
+    )
+    assert plain.columns == ["titleListMap", "filename", "landing_date"]
+    none = read_landing(spark, str(tmp_path), "naver", "titles", [DAY2], report=True)
+    assert frontier.listing_flags(none).count() == 0
