@@ -94,11 +94,12 @@ def by_item(docs: DataFrame, itemwise: bool, report: bool = False) -> DataFrame:
         odd = _has_odd(F.col("titleList"))
         listed["titleList"] = _listed(F.col("titleList"))
     if report:
-        corrupt = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in docs.columns else F.lit(None)
         fields = [c for c in docs.columns if c not in (CORRUPT_COLUMN, "filename", "landing_date")]
         nothing = reduce(and_, [F.col(c).isNull() for c in fields])
-        listed["odd_items"] = F.coalesce(odd, F.lit(False)) | (corrupt.isNotNull() & ~nothing)
-        listed["unreadable"] = corrupt.isNotNull() & nothing
+        # a document kept as VARIANT has no such column, and is NULL when it does not parse
+        broken = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in docs.columns else nothing
+        listed["odd_items"] = F.coalesce(odd, F.lit(False)) | (broken & ~nothing)
+        listed["unreadable"] = broken & nothing
     return docs.withColumns(listed).drop(CORRUPT_COLUMN) if listed else docs
 
 
@@ -116,8 +117,8 @@ def read_files(
 
     ``schema`` pins more fields than the default, and has listings read as a whole;
     ``multiline=False`` reads files that hold one document per line, which Spark can
-    split. ``report`` adds the columns ``odd_items`` and ``unreadable``, see ``by_item``;
-    targets kept as VARIANT are not looked into. ``files`` is the pattern of file names.
+    split. ``report`` adds the columns ``odd_items`` and ``unreadable``, see ``by_item``.
+    ``files`` is the pattern of file names.
     """
     reader = landing_reader(spark.read, platform, target, schema, multiline, report, files)
     docs = with_provenance(reader.json(paths))
