@@ -6,13 +6,14 @@ most part are rejected.
 """
 
 import re
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.llm.words import WordHashes, mixed, shingles, word_hashes
+from quirelake.llm.words import WordHashes, shingles, word_hashes
 from quirelake.llm.workspace import written
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -87,14 +88,13 @@ def _measure(batches):
             found = np.fromiter(held, np.uint64, len(held))
             hashes.append(found.view(np.int64))
             sizes.append(np.fromiter(held.values(), np.int64, len(held)))
-            order = np.arange(1, len(found) + 1, dtype=np.uint64)
-            keys.append(mixed(found * np.uint64(3) + mixed(order)).sum(dtype=np.uint64))
+            keys.append(blake2b(text, digest_size=16).digest())
         arrays = [batch.column("doc_id"), batch.column("host")]
         arrays += [pa.array(c, pa.int64()) for c in zip(*counts)] or [pa.array([], pa.int64())] * 5
         arrays += [
             pa.array(hashes, pa.list_(pa.int64())),
             pa.array(sizes, pa.list_(pa.int64())),
-            pa.array(np.array(keys, np.uint64).view(np.int64)),
+            pa.array(keys, pa.binary()),
         ]
         yield pa.RecordBatch.from_arrays(arrays, _COLUMNS)
 
@@ -103,7 +103,7 @@ _COLUMNS = ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines
             "n_repeat_words", "lines", "sizes", "content"]
 _SCHEMA = (
     "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
-    " n_repeat_words long, lines array<long>, sizes array<long>, content long"
+    " n_repeat_words long, lines array<long>, sizes array<long>, content binary"
 )
 
 
@@ -114,7 +114,7 @@ def _measured(docs: DataFrame, host: str) -> DataFrame:
 
 
 def boilerplate(measured: DataFrame) -> DataFrame:
-    """(host, line): lines above both limits. Documents with the same lines count once."""
+    """(host, line): lines above both limits. Documents with exactly the same text count once."""
     distinct = measured.groupBy("host", "content").agg(F.first("lines").alias("lines"))
     distinct = written(distinct)
     hosts = distinct.groupBy("host").agg(F.count("*").alias("documents"))

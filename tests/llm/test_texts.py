@@ -165,6 +165,16 @@ def test_boilerplate_goes_and_depleted_documents_are_rejected(spark):
     assert "RESERVED" not in stay[1] and stay[101] == rows[-1][1]
 
 
+def test_pages_of_one_template_are_documents_of_their_own(spark):
+    page = "order {} was shipped\non the day {} of may\n" + " ".join(f"w{chr(97 + i)}" for i in range(20))
+    rows = [(i, page.format(1000 + i, i), "h") for i in range(20)]
+    copies = [(100 + i, "copies of a text\nare one document\n" + "x y z " * 9, "h") for i in range(30)]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.n_boilerplate_words, r.kept) for r in quality.quality_rules(docs).collect()}
+    assert all(got[i] == (30, False) for i in range(20))
+    assert all(got[100 + i][0] == 0 for i in range(30))
+
+
 def test_mix_reaches_targets(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(1, 40), rng.choice(["a", "a", "a", "b", None])) for i in range(400)]
