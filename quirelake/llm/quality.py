@@ -1,12 +1,11 @@
 """Quality rules: counts of a text by itself, and lines that too many documents of a host share.
 
-Normalised lines are hashed and counted by distinct documents per host. Lines above
-the limits are boilerplate: they are removed, and documents that they made up for the
+Normalised lines are hashed and counted by distinct documents per host. Lines on
+enough of them are boilerplate: they are removed, and documents that they made up for the
 most part are rejected.
 """
 
 import re
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +21,12 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: A line is boilerplate on so many distinct documents of its host, ...
+#: A line is boilerplate on so many distinct documents of its host, however large the host is.
 LINE_DOCUMENTS = 20
-#: ... if they are so many percent of the host's distinct documents.
-LINE_PERCENT = 5
 #: A document is depleted when more than so many percent of its words are boilerplate.
 DEPLETED_PERCENT = 50
+#: Parts that a common line or a group of copies is joined in.
+SALTS = 16
 
 _DIGITS = re.compile(rb"[0-9]+")
 
@@ -80,7 +79,7 @@ def line_words(text: bytes, table: WordHashes) -> dict[int, int]:
 def _measure(batches):
     table, lines = WordHashes(), WordHashes()
     for batch in batches:
-        counts, hashes, sizes, keys = [], [], [], []
+        counts, hashes, sizes = [], [], []
         for text in batch.column("text").to_pylist():
             text = text or b""
             counts.append(base_counts(text, table))
@@ -88,65 +87,88 @@ def _measure(batches):
             found = np.fromiter(held, np.uint64, len(held))
             hashes.append(found.view(np.int64))
             sizes.append(np.fromiter(held.values(), np.int64, len(held)))
-            keys.append(blake2b(text, digest_size=16).digest())
-        arrays = [batch.column("doc_id"), batch.column("host")]
+        arrays = [batch.column("doc_id"), batch.column("host"), batch.column("page")]
         arrays += [pa.array(c, pa.int64()) for c in zip(*counts)] or [pa.array([], pa.int64())] * 5
         arrays += [
             pa.array(hashes, pa.list_(pa.int64())),
             pa.array(sizes, pa.list_(pa.int64())),
-            pa.array(keys, pa.binary()),
         ]
         yield pa.RecordBatch.from_arrays(arrays, _COLUMNS)
 
 
-_COLUMNS = ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-            "n_repeat_words", "lines", "sizes", "content"]
+_COLUMNS = ["doc_id", "host", "page", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+            "n_repeat_words", "lines", "sizes"]
 _SCHEMA = (
-    "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
-    " n_repeat_words long, lines array<long>, sizes array<long>, content binary"
+    "doc_id long, host string, page binary, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
+    " n_repeat_words long, lines array<long>, sizes array<long>"
 )
 
 
+def _page(host: F.Column, text: F.Column) -> F.Column:
+    """The same for rows of one host with exactly the same text; a NULL text is an empty one."""
+    of = F.coalesce(F.md5(host.cast("string")), F.lit("-" * 32)).cast("binary")
+    return F.unhex(F.md5(F.concat(of, F.coalesce(text.cast("binary"), F.lit(b"")))))
+
+
 def _measured(docs: DataFrame, host: str) -> DataFrame:
     return docs.select(
-        "doc_id", F.col(host).alias("host"), F.col("text").cast("binary").alias("text")
+        "doc_id", F.col(host).cast("string").alias("host"), _page(F.col(host), F.col("text")).alias("page"),
+        F.col("text").cast("binary").alias("text"),
     ).mapInArrow(_measure, _SCHEMA)
 
 
 def boilerplate(measured: DataFrame) -> DataFrame:
-    """(host, line): lines above both limits. Documents with exactly the same text count once."""
-    distinct = measured.groupBy("host", "content").agg(F.first("lines").alias("lines"))
-    distinct = written(distinct)
-    hosts = distinct.groupBy("host").agg(F.count("*").alias("documents"))
-    often = (
+    """(page, gone, common): pages that hold boilerplate, how many of their words it is, and
+    its lines. Rows with exactly the same text are one document of their host.
+
+    Pages meet the counted lines line by line; a line that very many pages hold is dealt
+    out by page.
+    """
+    distinct = written(
+        measured.groupBy("page").agg(F.struct(F.first("host").alias("host"), F.first("lines").alias("lines"),
+                                              F.first("sizes").alias("sizes")).alias("one"))
+        .select("page", "one.*")
+    )
+    common = written(
         distinct.select("host", F.explode("lines").alias("line"))
         .groupBy("host", "line").agg(F.count("*").alias("n"))
-        .where(F.col("n") >= LINE_DOCUMENTS)
+        .where(F.col("n") >= LINE_DOCUMENTS).select(F.col("host").alias("of"), "line")
+    )
+    held = distinct.select(
+        "page", "host", F.explode(F.arrays_zip("lines", "sizes")).alias("x")
+    ).select("page", "host", F.col("x.lines").alias("held"), F.col("x.sizes").alias("size"),
+             F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int").alias("salt"))
+    common = common.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (
+        held.join(common, held.host.eqNullSafe(common["of"]) & (held.held == common.line)
+                  & (held.salt == common.part))
+        .groupBy("page").agg(F.sum("size").alias("gone"), F.collect_list("line").alias("common"))
     )
-    return often.join(hosts, often.host.eqNullSafe(hosts.host)).where(
-        F.col("n") * 100 >= LINE_PERCENT * F.col("documents")
-    ).select(often.host, "line")
 
 
-def judged(measured: DataFrame, common: DataFrame) -> DataFrame:
-    """The measured rows with n_boilerplate_words, base_failed and kept.
+def _beside(rows: DataFrame, depleting: DataFrame) -> DataFrame:
+    """``rows`` (page, salt, ...) with what ``boilerplate`` says of their pages, or NULL;
+    copies of a page are dealt out by salt."""
+    parts = depleting.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = parts.withColumnRenamed("page", "__of")
+    on = (rows["__page"] == parts["__of"]) & (rows["__salt"] == parts["__part"])
+    return rows.join(parts, on, "left").drop("__of", "__part")
 
-    The few common lines of a host are one array; how many there can be follows from
-    LINE_PERCENT and the lines of an average document, not from the host's size.
-    """
-    common = common.groupBy("host").agg(F.collect_set("line").alias("common"))
-    common = common.withColumnRenamed("host", "of")
-    removed = F.expr(
-        "coalesce(aggregate(arrays_zip(lines, sizes), 0L,"
-        " (s, x) -> s + if(array_contains(common, x.lines), x.sizes, 0L)), 0L)"
-    )
+
+def _salt(*columns: str) -> F.Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int").alias("__salt")
+
+
+def judged(measured: DataFrame, common: DataFrame) -> DataFrame:
+    """The measured rows with n_boilerplate_words, base_failed and kept; ``common`` is
+    what ``boilerplate`` gives."""
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
+    rows = measured.withColumnRenamed("page", "__page").select("*", _salt("doc_id"))
     return (
-        measured.join(common, measured.host.eqNullSafe(common["of"]), "left")
-        .withColumn("n_boilerplate_words",
-                    F.when(F.col("common").isNull(), F.lit(0).cast("long")).otherwise(removed))
+        _beside(rows, common.select("page", "gone"))
+        .withColumn("n_boilerplate_words", F.coalesce("gone", F.lit(0)).cast("long"))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (100 * F.col("n_boilerplate_words")
                                        <= DEPLETED_PERCENT * F.col("n_words")))
@@ -157,7 +179,7 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     """Per row of ``docs`` (doc_id, text, host): counts and verdict.
 
     A NULL or empty text has no words and fails; a NULL host is a host of its own.
-    Rows that repeat count as one document. Other columns are ignored. No row, no result.
+    Rows of a host with exactly the same text count as one document. Other columns are ignored. No row, no result.
     """
     measured = written(_measured(docs, host))
     rows = judged(measured, written(boilerplate(measured)))
@@ -172,15 +194,13 @@ def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
     repeated one are treated like all others. n_chars, where there is one, follows the text.
     """
     measured = written(_measured(docs, host))
-    common = written(boilerplate(measured))
-    lists = common.groupBy(F.col("host").alias("__host")).agg(
-        F.collect_set("line").alias("__common")
-    )
-    body = docs.join(lists, docs[host].eqNullSafe(lists["__host"]), "left").select(
-        F.col(host).alias("host"), F.col("text").cast("binary").alias("text"),
-        F.coalesce("__common", F.array().cast("array<long>")).alias("common"),
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    rows = docs.select(
+        _page(F.col(host), F.col("text")).alias("__page"), _salt("doc_id"),
+        F.col("text").cast("binary").alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"),
     )
+    body = _beside(rows, written(boilerplate(measured)).select("page", "common")).select(
+        "text", F.coalesce("common", F.array().cast("array<long>")).alias("common"), "row"
+    )
     schema = f"row {docs.schema.simpleString()}, text binary, kept boolean"
     rows = body.mapInArrow(_verdicts, schema).where("kept").select("row.*", F.col("text").alias("__text"))
     text = F.col("__text").cast("string")

@@ -165,6 +165,22 @@ def test_boilerplate_goes_and_depleted_documents_are_rejected(spark):
     assert "RESERVED" not in stay[1] and stay[101] == rows[-1][1]
 
 
+def test_boilerplate_does_not_depend_on_the_size_of_the_host(spark):
+    rng = random.Random(8)
+    line = "this page is licensed under terms that are given elsewhere"
+
+    def body(n=40):
+        return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+    rows = [(i, body() + ("\n" + line if i < 20 else ""), "h") for i in range(1000)]
+    rows += [(2000 + i, body() + ("\n" + line if i < 19 else ""), "g") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_boilerplate_words for r in quality.quality_rules(docs).collect()}
+    assert got == {r[0]: 10 if r[0] < 20 else 0 for r in rows}
+    stay = {r.doc_id: r.text for r in quality.kept_documents(docs).collect()}
+    assert stay == {r[0]: r[1].split("\n")[0] if r[0] < 20 else r[1] for r in rows}
+
+
 def test_pages_of_one_template_are_documents_of_their_own(spark):
     page = "order {} was shipped\non the day {} of may\n" + " ".join(f"w{chr(97 + i)}" for i in range(20))
     rows = [(i, page.format(1000 + i, i), "h") for i in range(20)]
