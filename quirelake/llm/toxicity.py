@@ -9,6 +9,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -25,8 +26,8 @@ LOOK_ALIKES = str.maketrans(
     "abbreezikmhopctyxjsdhqwabeikvoptux" + "oieastbasil",
 )
 
-#: Terms in the lexicon at most, the heaviest first.
-LEXICON_TERMS = 5_000
+#: Terms or phrases of one automaton; a larger lexicon is split into several, none is left out.
+PART_PATTERNS = 250_000
 #: Toxic documents that must hold a term, and its least weight: the log-odds less so
 #: many standard errors.
 TERM_DOCUMENTS = 4
@@ -36,7 +37,6 @@ DOUBT = 1.64
 STEM = 5
 #: Clean documents that make a phrase around a term an exception, if no toxic one has it.
 EXCEPTION_DOCUMENTS = 3
-EXCEPTION_PHRASES = 5_000
 #: Words added to a text's length, so that one hit in a few words is not everything.
 LENGTH_PRIOR = 20
 #: Intercept and slopes used where labels do not have both values.
@@ -64,7 +64,7 @@ def _terms(words: set[str]) -> set[str]:
 class Lexicon:
     """An automaton over terms and exception phrases."""
 
-    def __init__(self, weights: dict[str, float], exceptions: list[str]):
+    def __init__(self, weights: dict[str, float], exceptions: list[str] = ()):
         self.automaton = ahocorasick.Automaton()
         for term, weight in weights.items():
             pattern = " " + term[:-1] if term.endswith("*") else f" {term} "
@@ -76,23 +76,23 @@ class Lexicon:
         if self.any:
             self.automaton.make_automaton()
 
-    def hits(self, text: str) -> dict[int, float]:
-        """Weight by place of the words that are hit outside of exceptions; where terms
-        overlap in a word, the heaviest counts."""
-        found: dict[int, float] = {}
+    def add(self, text: str, found: dict[int, float], spared: list[int]) -> None:
+        """Adds to found the weight by place of the words that are hit, where terms overlap
+        the heaviest, and to spared begin and end of each exception phrase."""
         if not self.any:
-            return found
-        spared = []
+            return
         for end, (length, weight) in self.automaton.iter(text):
             begin = end - length + 1
             if weight is None:
-                spared.append((begin, end))
+                spared += (begin, end)
             else:
                 found[begin] = max(weight, found.get(begin, weight))
-        for begin, end in spared:
-            for at in [b for b in found if begin <= b < end]:
-                del found[at]
-        return found
+
+
+def _left(found: dict[int, float], spared: list[int]) -> dict[int, float]:
+    """The hits outside of exceptions."""
+    covered = list(zip(spared[::2], spared[1::2]))
+    return {b: w for b, w in found.items() if not any(x <= b < y for x, y in covered)}
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -119,8 +119,9 @@ def _pairs(counts) -> pa.RecordBatch:
     )
 
 
-def _weights(labelled: DataFrame) -> dict[str, float]:
-    """Log-odds of the heaviest terms; counted over all labelled documents."""
+def _weights(labelled: DataFrame) -> DataFrame | None:
+    """(pattern, weight): log-odds of all terms above the thresholds; counted over all
+    labelled documents. None without labels of both kinds."""
     tally = written(
         labelled.mapInArrow(_tally, "term string, toxic long, clean long")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -128,68 +129,105 @@ def _weights(labelled: DataFrame) -> dict[str, float]:
     )
     total = tally.where("term = ''").first()
     if not total or not total.toxic or not total.clean:
-        return {}
+        return None
     toxic, clean = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(toxic / (total.toxic + 1.0)) - F.log(clean / (total.clean + 1.0))
     weight = odds - DOUBT * F.sqrt(1 / toxic + 1 / clean)
-    heavy = (
-        tally.where("term <> ''").withColumn("weight", weight)
-        .where(F.col("weight") >= TERM_WEIGHT)
-        .orderBy(F.desc(F.col("weight") * F.log("toxic")), "term").limit(LEXICON_TERMS)
+    heavy = tally.where("term <> ''").withColumn("weight", weight)
+    return written(
+        heavy.where(F.col("weight") >= TERM_WEIGHT)
+        .select(F.col("term").alias("pattern"), F.round("weight", 6).alias("weight"))
     )
-    return {r.term: round(r.weight, 6) for r in heavy.select("term", "weight").collect()}
 
 
-def _phrases(weights: dict[str, float]):
-    def find(batches):
-        lexicon = Lexicon(weights, [])
+def _parts(patterns: DataFrame) -> list[DataFrame]:
+    """Parts of (pattern, weight), each of about PART_PATTERNS rows at most."""
+    n = -(-patterns.count() // PART_PATTERNS)
+    part = F.pmod(F.xxhash64("pattern"), F.lit(max(n, 1)))
+    return [patterns.where(part == i) for i in range(n)]
+
+
+def _matched(rows: DataFrame, patterns: list[DataFrame]) -> DataFrame:
+    """``rows`` (text and others) with begins, weights and spared (what ``Lexicon.add`` finds
+    of all patterns) and blanks, those of the folded text or NULL. A part of them is held at a time, and the rows carry its hits on."""
+    rows = rows.withColumns({
+        "begins": F.array().cast("array<int>"), "weights": F.array().cast("array<double>"),
+        "spared": F.array().cast("array<int>"), "blanks": F.lit(None).cast("long"),
+    })
+    parts = _parts(reduce(DataFrame.unionByName, patterns)) if patterns else []
+    for i, part in enumerate(parts):
+        fetched = part.collect()
+        lexicon = rows.sparkSession.sparkContext.broadcast((
+            {r.pattern: r.weight for r in fetched if r.weight is not None},
+            [r.pattern for r in fetched if r.weight is None],
+        ))
+        rows = rows.mapInArrow(_adding(lexicon), rows.schema)
+        if i + 1 < len(parts):
+            rows = written(rows)
+            lexicon.unpersist()
+    return rows
+
+
+def _adding(lexicon):
+    def add(batches):
+        matcher = Lexicon(*lexicon.value)
         for batch in batches:
-            counts = (Counter(), Counter())
-            for text, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic"))):
-                text, seen = folded(text or ""), set()
-                for begin in lexicon.hits(text):
-                    end = text.index(" ", begin + 1)
-                    before = text[:begin].rpartition(" ")[2] if begin else ""
-                    after = text[end + 1 :].partition(" ")[0] if end + 1 < len(text) else ""
-                    word = text[begin + 1 : end]
-                    seen |= {f"{before} {word}"} if before else set()
-                    seen |= {f"{word} {after}"} if after else set()
-                counts[bool(toxic)].update(seen)
-            yield _pairs(counts)
-
-    return find
-
-
-def _exceptions(labelled: DataFrame, weights: dict[str, float]) -> list[str]:
-    rows = (
-        labelled.mapInArrow(_phrases(weights), "term string, toxic long, clean long")
+            columns = (batch.column(c).to_pylist() for c in ("text", "begins", "weights", "spared"))
+            out = {"begins": [], "weights": [], "spared": [], "blanks": []}
+            for text, begins, weights, spared in zip(*columns):
+                found = dict(zip(begins, weights))
+                text = folded(text or "")
+                matcher.add(text, found, spared)
+                held = (list(found), list(found.values()), spared, text.count(" "))
+                for name, values in zip(out, held):
+                    out[name].append(values)
+            for name, values in out.items():
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, name, pa.array(values, batch.schema.field(at).type))
+            yield batch
+
+    return add
+
+
+def _phrases(batches):
+    for batch in batches:
+        counts = (Counter(), Counter())
+        for text, toxic, begins in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "begins"))):
+            text, seen = folded(text or ""), set()
+            for begin in begins:
+                end = text.index(" ", begin + 1)
+                before = text[:begin].rpartition(" ")[2] if begin else ""
+                after = text[end + 1 :].partition(" ")[0] if end + 1 < len(text) else ""
+                word = text[begin + 1 : end]
+                seen |= {f"{before} {word}"} if before else set()
+                seen |= {f"{word} {after}"} if after else set()
+            counts[bool(toxic)].update(seen)
+        yield _pairs(counts)
+
+
+def _exceptions(labelled: DataFrame, weights: DataFrame) -> DataFrame:
+    """(pattern, weight): all phrases above the threshold, with no weight."""
+    return written(
+        _matched(labelled, [weights]).mapInArrow(_phrases, "term string, toxic long, clean long")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where(f"toxic = 0 AND clean >= {EXCEPTION_DOCUMENTS}")
-        .orderBy(F.desc("clean"), "term").limit(EXCEPTION_PHRASES).collect()
+        .select(F.col("term").alias("pattern"), F.lit(None).cast("double").alias("weight"))
     )
-    return [r.term for r in rows]
 
 
-def _measure(lexicon):
-    def measure(batches):
-        weights, exceptions = lexicon.value
-        matcher = Lexicon(weights, exceptions)
-        for batch in batches:
-            sums, rates = [], []
-            for text in batch.column("text").to_pylist():
-                text = folded(text or "")
-                total = sum(matcher.hits(text).values())
-                sums.append(math.log1p(total))
-                rates.append(math.log1p(100 * total / (text.count(" ") - 1 + LENGTH_PRIOR)))
-            at = batch.schema.get_field_index("text")
-            rest = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(sums, pa.float64()), pa.array(rates, pa.float64())],
-                [*names, "weight_sum", "weight_rate"],
-            )
-
-    return measure
+def _measure(batches):
+    for batch in batches:
+        sums, rates = [], []
+        columns = (batch.column(c).to_pylist() for c in ("text", "begins", "weights", "spared", "blanks"))
+        for text, begins, weights, spared, blanks in zip(*columns):
+            total = sum(_left(dict(zip(begins, weights)), spared).values())
+            blanks = folded(text or "").count(" ") if blanks is None else blanks
+            sums.append(math.log1p(total))
+            rates.append(math.log1p(100 * total / (blanks - 1 + LENGTH_PRIOR)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(sums, pa.float64()), pa.array(rates, pa.float64())],
+            ["doc_id", "weight_sum", "weight_rate"],
+        )
 
 
 def _calibrated(features: DataFrame) -> tuple[float, float, float]:
@@ -212,15 +250,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, training: str = "true") -> Data
     that repeat score like each other, other columns are ignored, no row gives no result.
     Without marks of both kinds the lexicon is empty and all scores are equal.
     """
-    spark = docs.sparkSession
     marked = labels.where(training).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     labelled = _labelled(docs, marked)
     weights = _weights(labelled)
-    exceptions = _exceptions(labelled, weights) if weights else []
-    lexicon = spark.sparkContext.broadcast((weights, exceptions))
-    measure = _measure(lexicon)
+    patterns = [] if weights is None else [weights, _exceptions(labelled, weights)]
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    measured = written(texts.mapInArrow(measure, "doc_id long, weight_sum double, weight_rate double"))
+    measured = written(_matched(texts, patterns).mapInArrow(_measure, "doc_id long, weight_sum double, weight_rate double"))
     marks = marked.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     intercept, by_sum, by_rate = _calibrated(measured.join(marks, "doc_id"))
     margin = intercept + by_sum * F.col("weight_sum") + by_rate * F.col("weight_rate")

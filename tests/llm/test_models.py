@@ -44,6 +44,36 @@ def test_lexicon_is_learned_and_exceptions_spare(spark):
     assert all(r.score == pytest.approx(1 / (1 + np.exp(4))) for r in empty.collect())
 
 
+def many_terms():
+    """As many toxic words as documents of one kind, each in four of them, and exceptions."""
+    letters = "bcdfghjklm"
+    words = ["q" + "".join(letters[i // 10**k % 10] for k in range(4)) for i in range(5_600)]
+    rows, labels = [], []
+    for i in range(0, 5_600, 50):
+        rows += [(4 * i + k, " ".join(words[i : i + 50]), 1) for k in range(4)]
+    for i in range(10_000):
+        rows.append((100_000 + i, "plain text about nothing", 0))
+    for word in words[:20]:
+        rows += [(300_000 + len(rows) + k, f"sore {word} said", 0) for k in range(3)]
+    labels = [(r[0], r[2]) for r in rows]
+    return words, [r[:2] for r in rows], labels
+
+
+@pytest.mark.parametrize("part", [None, 2_000])
+def test_no_toxic_term_is_left_out(spark, monkeypatch, part):
+    if part:
+        monkeypatch.setattr(toxicity, "PART_PATTERNS", part)
+    words, rows, labels = many_terms()
+    asked = [(-1 - i, f"one {w} here") for i, w in enumerate(words)]
+    asked += [(-10_000 - i, f"sore {w} said") for i, w in enumerate(words[:20])]
+    docs = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    score = {r.doc_id: r.score for r in toxicity.toxicity(docs, marks).collect()}
+    clean = score[100_000]
+    assert sum(score[-1 - i] > clean for i in range(20, len(words))) == len(words) - 20
+    assert all(score[-10_000 - i] == pytest.approx(clean, abs=1e-3) for i in range(20))
+
+
 def secret_rows():
     rng = random.Random(9)
     rows = []
