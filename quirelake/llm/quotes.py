@@ -1,9 +1,9 @@
 """Quotation linking: conversations in reply order, without the quotes.
 
-Leading quote marks give a line its level. Quoted lines are normalised and hashed, and
-each is joined to the latest earlier message of the conversation that wrote it. A message
-answers the one from which most of its first-level quotes come. Everything here is
-DataFrame functions.
+Leading quote marks give a line its level. Lines of one level that follow each other are a
+run; runs are normalised and hashed by word shingles, so neither new line breaks nor the
+place of a quote in its original matter. What a message quotes at level n, the one that it
+answers holds at level n - 1. Everything here is DataFrame functions.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -13,6 +13,8 @@ from quirelake.llm.workspace import written
 
 #: Marks before a line, each with a blank or not.
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
+#: Words that are looked for together; a quote of fewer is looked for as a whole.
+WIDTH = 4
 
 
 def _normalised(line: F.Column) -> F.Column:
@@ -20,7 +22,7 @@ def _normalised(line: F.Column) -> F.Column:
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, own (text without quotes) and lines (level, hash)."""
+    """conv_id, turn, role, own (text without quotes), quotes and runs (level, words)."""
     lines = F.transform(
         F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\r?\n"),
         lambda s: F.struct(
@@ -32,37 +34,69 @@ def _parsed(messages: DataFrame) -> DataFrame:
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"), "role", lines.alias("lines")
     )
     own = F.transform(F.filter("lines", lambda x: x.level == 0), lambda x: x.body)
-    hashed = F.transform(
-        "lines", lambda x: F.struct(x.level, _normalised(x.body).alias("body"))
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("lines") - 1),
+        lambda i: (i == 0) | (F.get("lines", i)["level"] != F.get("lines", i - 1)["level"]),
     )
+    parsed = parsed.withColumn("starts", starts)
+    runs = F.transform("starts", lambda at, i: F.struct(
+        F.get("lines", at)["level"].alias("level"),
+        _normalised(F.array_join(F.transform(
+            F.slice("lines", at + 1, F.coalesce(F.get("starts", i + 1), F.size("lines")) - at),
+            lambda x: x.body), " ")).alias("words"),
+    ))
     return parsed.select(
         "conv_id", "turn", "role", F.trim(F.array_join(own, "\n")).alias("own"),
         F.exists("lines", lambda x: x.level > 0).alias("quotes"),
-        F.transform(F.filter(hashed, lambda x: x.body != ""),
-                    lambda x: F.struct(x.level, F.xxhash64(x.body).alias("hash"))).alias("lines"),
+        F.filter(runs, lambda x: x.words != "").alias("runs"),
     )
 
 
+def _shingles(words: F.Column, width) -> F.Column:
+    starts = F.sequence(F.lit(1), F.size(words) - width + 1)
+    return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, width), " ")))
+
+
 def _answered(parsed: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent): the earlier message that most first-level quotes come from,
-    the later of two.
+    """(conv_id, turn, parent): the earlier message that most quotes of the lowest level with
+    an origin come from, the later of two.
 
-    Messages meet their quotes in turn order by line, so a line that many messages hold
-    makes no pairs of them.
+    The origin of a shingle at level n is the latest earlier message that holds it at level
+    n - 1, or else the latest that wrote it. Messages meet their quotes in turn order by
+    shingle, so one that many messages hold makes no pairs of them.
     """
     quoting = parsed.where("quotes").select("conv_id").distinct()
-    lines = parsed.join(quoting, "conv_id", "left_semi").select(
-        "conv_id", "turn", F.explode(F.array_distinct("lines")).alias("line")
+    runs = parsed.join(quoting, "conv_id", "left_semi").select(
+        "conv_id", "turn", F.explode("runs").alias("run")
+    ).select("conv_id", "turn", "run.level", F.split("run.words", " ").alias("words"))
+    held = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.least(F.size("words"), F.lit(WIDTH))), lambda n: _shingles(F.col("words"), n)
+    ))
+    asked = _shingles(F.col("words"), F.least(F.size("words"), F.lit(WIDTH)))
+    holds = runs.select(
+        "conv_id", "turn", "level", F.explode(F.array_distinct(held)).alias("hash"), F.lit(False).alias("asks")
     )
-    lines = lines.select("conv_id", "turn", "line.level", "line.hash").where("level <= 1").distinct()
-    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(
+    asks = runs.where("level > 0").select(
+        "conv_id", "turn", "level", F.explode(F.array_distinct(asked)).alias("hash"), F.lit(True).alias("asks")
+    )
+    # a message that holds something at one level is met by those that quote it at the next
+    met = holds.withColumn("level", F.col("level") + 1).unionByName(asks).distinct()
+    before = Window.partitionBy("conv_id", "hash", "level").orderBy("turn").rangeBetween(
         Window.unboundedPreceding, -1
     )
-    wrote = F.max(F.when(F.col("level") == 0, F.col("turn"))).over(before)
-    met = lines.withColumn("source", wrote).where("level = 1 AND source IS NOT NULL")
-    counted = met.groupBy("conv_id", "turn", "source").agg(F.count("*").alias("n"))
+    wrote = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(
+        Window.unboundedPreceding, -1
+    )
+    origin = F.coalesce(
+        F.max(F.when(~F.col("asks"), F.col("turn"))).over(before),
+        F.max(F.when(~F.col("asks") & (F.col("level") == 1), F.col("turn"))).over(wrote),
+    )
+    counted = (
+        met.withColumn("source", origin).where("asks AND source IS NOT NULL")
+        .groupBy("conv_id", "turn", "level", "source").agg(F.count("*").alias("n"))
+    )
     return counted.groupBy("conv_id", "turn").agg(
-        F.max(F.struct("n", "source")).getField("source").alias("parent")
+        F.max(F.struct(-F.col("level"), "n", "source")).getField("source").alias("parent")
     )
 
 
@@ -72,8 +106,9 @@ def linked(messages: DataFrame) -> DataFrame:
     and depth. Sorted by conv_id, root_turn and turn, conversations are in reply order.
 
     A message answers the earlier message of its conversation that most of its first-level
-    quotes come from; without such, the message one turn before it, if there is one; else it begins a
-    thread. Lines are compared by their letters and digits only. A NULL text is an empty
+    quotes come from; without such, that which holds most of its second-level quotes at the first
+    level, or else wrote them, and so on; without any, the message one turn before it, if there is
+    one; else it begins a thread. Words are compared by their letters and digits only. A NULL text is an empty
     message. Rows without conv_id or turn answer nothing and begin threads of their own;
     rows that repeat have the same place. Of rows with the same conv_id and turn each is
     given back, and all of them are what an answer refers to. Other columns are ignored.

@@ -178,3 +178,29 @@ def test_quotes_are_linked(spark):
     assert place[1, 2].message == "Great" and place[1, 7].message == ""
     assert chat_text(got).where("turn = 3").first().chat == "<|assistant|>\nLate answer\n"
     assert linked(df.limit(0)).count() == 0
+
+
+def test_nested_wrapped_and_partial_quotes_are_linked(spark):
+    first = "The committee will meet again in spring to settle the budget\nand whatever else is left"
+    rows = [
+        (1, 0, "user", first),
+        (1, 1, "assistant", "An unrelated remark about the weather of last week"),
+        (1, 2, "user", "> The committee will meet\n> again in spring to settle\n> the budget and\nwhy not now"),
+        (1, 3, "assistant", "Something else that nobody quotes"),
+        (1, 4, "user", "> meet again in spring\nnot before"),
+        (1, 5, "assistant", "One more remark"),
+        # only deeper quotes: message 4 is the latest that quotes it at the first level
+        (1, 6, "user", "> > meet again in spring\nI see"),
+        (1, 7, "assistant", "And one more"),
+        # quoted by nobody before: who wrote it
+        (1, 8, "user", "> > > about the weather of last week\nindeed"),
+        (1, 9, "assistant", "> > meet again in spring\n> why not now\nlevel one decides"),
+        (1, 10, "user", "> words that nobody wrote here\nodd"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.parent_turn, r.by_quote, r.root_turn) for r in linked(df).collect()}
+    assert got == {
+        0: (None, False, 0), 1: (0, False, 0), 2: (0, True, 0), 3: (2, False, 0), 4: (0, True, 0),
+        5: (4, False, 0), 6: (4, True, 0), 7: (6, False, 0), 8: (1, True, 0), 9: (2, True, 0),
+        10: (9, False, 0),
+    }
