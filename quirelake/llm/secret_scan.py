@@ -1,4 +1,4 @@
-"""Secret scan: candidates by shape, false positives removed by a random forest.
+"""Secret scan: candidates by shape or announcement, false positives removed by a random forest.
 
 The forest looks at a candidate's length, the changes between kinds of characters in it,
 how much of it words of the corpus cover, the path of its document and the words next to
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quirelake.llm.workspace import written
 
-#: What a candidate is made of; it also has to hold a digit.
+#: What a candidate that nothing announces is made of; it also has to hold a digit.
 CORE = r"[A-Za-z0-9+/_\-]{12,}={0,2}"
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Labelled findings of either kind that the forest is fitted on at most, by hash order.
@@ -32,6 +32,14 @@ KNOWN_SHAPES = (
     r"|^sk_live_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_\-]{35}$"
 )
 ANNOUNCING = r"(?i)(token|secret|passw(or)?d|pwd|api_?key|access_?key|credential|auth)"
+#: What may follow in the same name: token_id and secretKey announce, author and secretary do not.
+NAMED = ANNOUNCING + r"(s|orization|entication)?([_\-0-9][\w\-]*|(?-i:[A-Z][a-z])[\w\-]*)?['\"\])]*"
+#: An announcing word and the sign that assigns, at the end of what stands before a value.
+ANNOUNCED = NAMED + r"\s*[=:]+>?\s*$"
+#: The same at the start of a value's own word.
+ANNOUNCED_HERE = "^(.*?" + NAMED + r"[=:]+>?)(.+)$"
+#: Signs around a value that do not belong to it.
+AROUND = r"^['\"`(\[{<]+|['\"`)\]}>,;]+$"
 ASSIGNED = r"[=:]\s*['\"]*$"
 SAMPLE_PATHS = r"(?i)(test|example|sample|demo|doc|fixture)"
 
@@ -47,28 +55,80 @@ def _key(docs: DataFrame, path: str) -> F.Column:
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """(key, doc_id, path, word_no, part_no, candidate, lead, before, after): every run of
-    candidate characters with a digit, in any word, with its neighbours."""
+    """(key, doc_id, path, word_no, part_no, candidate, lead, before, after): every value
+    that an announcing word with = or : assigns, whole, and else every run of candidate
+    characters with a digit, in any word, with its neighbours.
+
+    A quoted value of several words is one candidate per word.
+    """
     words = F.split(F.col("text").cast("string"), BLANKS)
     split = docs.select("doc_id", F.col(path).cast("string").alias("path"),
-                        _key(docs, path).alias("key"), words.alias("words"))
+                        _key(docs, path).alias("key"), words.alias("words"),
+                        F.col("text").cast("string").rlike(ANNOUNCING).alias("some"))
+
+    def word(i):
+        return F.coalesce(F.get("words", i), F.lit(""))
+
+    def given(i):
+        """The value that word i begins, quotes included, or an empty string."""
+        here = F.regexp_extract(word(i), ANNOUNCED_HERE, 6)
+        before = F.concat_ws(" ", word(i - 2), word(i - 1))
+        split_sign = F.when(
+            word(i).rlike(r"^[=:]") & word(i - 1).rlike(NAMED + "$"),
+            F.regexp_replace(word(i), r"^[=:]+>?", ""),
+        )
+        after = F.when(before.rlike(ANNOUNCED), F.regexp_replace(word(i), r"^[=:]+>?", ""))
+        return F.when(here != "", here).otherwise(F.coalesce(after, split_sign, F.lit("")))
+
+    def reach(value, i):
+        """Words after word i up to the quote that ends the value; 0 where none does."""
+        quote = F.regexp_extract(value, "^(['\"])", 1)
+        inside = F.substring(value, F.lit(2), F.length(value))
+        rest = F.slice("words", i + 2, F.size("words"))
+        ends = F.filter(F.sequence(F.lit(0), F.size(rest)), lambda k: F.contains(F.get(rest, k), quote))
+        return F.when((quote == "") | F.contains(inside, quote), 0).otherwise(
+            F.coalesce(F.get(ends, F.lit(0)) + 1, F.lit(0))
+        )
+
+    places = F.sequence(F.lit(0), F.size("words") - 1)
+    told = F.transform(
+        F.filter(places, lambda i: given(i) != ""),
+        lambda i: F.struct(i.alias("i"), (i + reach(given(i), i)).alias("last")),
+    )
+    split = split.withColumn("told", F.when(F.col("some"), told).otherwise(F.expr(
+        "CAST(array() AS array<struct<i: int, last: int>>)"
+    )))
     at = F.filter(
-        F.sequence(F.lit(0), F.size("words") - 1),
-        lambda i: (F.length(F.get("words", i)) >= 12) & F.get("words", i).rlike(CORE),
+        places,
+        lambda i: ((F.length(F.get("words", i)) >= 12) & F.get("words", i).rlike(CORE))
+        | F.exists("told", lambda t: i.between(t.i, t.last)),
     )
     found = split.where(F.size("words") > 0).select("*", F.explode(at).alias("word_no"))
-    word = F.get("words", F.col("word_no"))
+    no = F.col("word_no")
+    told_here = F.filter("told", lambda t: no.between(t.i, t.last))
+    first = F.get(told_here, F.lit(0))["i"]
+    value = F.when(first == no, given(no)).when(first.isNotNull(), word(no))
     near = found.select(
-        "doc_id", "path", "key", "word_no", word.alias("word"),
-        F.concat_ws(" ", F.get("words", F.col("word_no") - 2), F.get("words", F.col("word_no") - 1))
+        "doc_id", "path", "key", "word_no", word(no).alias("word"),
+        F.regexp_replace(value, AROUND, "").alias("value"),
+        F.concat_ws(" ", F.get("words", F.coalesce(first, no) - 2), F.get("words", F.coalesce(first, no) - 1))
         .alias("before"),
-        F.coalesce(F.get("words", F.col("word_no") + 1), F.lit("")).alias("after"),
+        F.coalesce(F.get("words", no + 1), F.lit("")).alias("after"),
     )
-    parts = near.select(
-        "*", F.posexplode(F.regexp_extract_all("word", F.lit(CORE), 0)).alias("part_no", "candidate")
+    runs = F.filter(
+        F.regexp_extract_all("word", F.lit(CORE), 0), lambda c: c.rlike("[0-9]")
     )
-    lead = F.expr("substring_index(word, candidate, 1)")
-    return parts.where(F.col("candidate").rlike("[0-9]")).select(
+    # a run before or after the value in the same word stays a candidate of its own
+    outside = F.filter(runs, lambda c: ~F.contains(F.col("value"), c))
+    all_ = F.when(F.coalesce(F.col("value"), F.lit("")) == "", runs).otherwise(
+        F.concat(F.array("value"), outside)
+    )
+    parts = near.select("*", F.posexplode(all_).alias("part_no", "candidate"))
+    lead = F.when(
+        F.col("candidate") == F.col("value"),
+        F.expr("substr(word, 1, length(word) - length(substring_index(word, candidate, -1)) - length(candidate))"),
+    ).otherwise(F.expr("substring_index(word, candidate, 1)"))
+    return parts.select(
         "key", "doc_id", "path", "word_no", "part_no", "candidate", lead.alias("lead"), "before", "after"
     )
 
@@ -194,11 +254,21 @@ def redacted(docs: DataFrame, path: str = "source") -> DataFrame:
     """
     secrets = written(
         secret_scan(docs, path).where("is_secret").groupBy(F.col("key").alias("__key"))
-        .agg(F.collect_set("candidate").alias("__secrets"))
+        .agg(F.collect_set(F.struct("word_no", "candidate")).alias("__secrets"))
     )
     text = F.col("text").cast("string")
-    by_length = F.expr("array_sort(__secrets, (a, b) -> length(b) - length(a))")
-    masked = F.aggregate(by_length, text, lambda t, s: F.replace(t, s, F.lit(MASK)))
+    # the place of a secret counts: a short one may be part of other words
+    tokens = F.regexp_extract_all(text, F.lit(BLANKS + r"|[^\x20\x09-\x0D]+"), 0)
+    ahead = F.when(text.rlike("^" + BLANKS), 1).otherwise(0)
+    in_place = F.array_join(F.transform(tokens, lambda w, i: F.aggregate(
+        F.filter("__secrets", lambda s: s.word_no * 2 - ahead == i),
+        w, lambda t, s: F.replace(t, s.candidate, F.lit(MASK)),
+    )), "")
+    everywhere = F.expr(
+        "array_sort(array_distinct(transform(filter(__secrets, s -> length(s.candidate) >= 12),"
+        " s -> s.candidate)), (a, b) -> length(b) - length(a))"
+    )
+    masked = F.aggregate(everywhere, in_place, lambda t, s: F.replace(t, s, F.lit(MASK)))
     rows = docs.withColumn("__mine", _key(docs, path))
     rows = rows.join(secrets, rows["__mine"] == secrets["__key"], "left")
     rows = rows.withColumn("text", F.when(F.col("__secrets").isNull(), text).otherwise(masked))

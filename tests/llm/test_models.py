@@ -104,6 +104,29 @@ def test_secrets_are_found_and_masked(spark):
     assert secret_scan.secret_scan(docs.limit(0)).count() == 0
 
 
+def test_announced_values_of_any_length_and_signs_are_masked(spark):
+    told = [
+        ("see password=hunter2 then", "see password={} then", ["hunter2"]),
+        ("see pwd: Tr0ub4dor&3 then", "see pwd: {} then", ["Tr0ub4dor&3"]),
+        ('\n secret = "correct-horse-battery"\n', '\n secret = "{}"\n', ["correct-horse-battery"]),
+        ("the api_key: 'a.b!c@d#e%f', not abc", "the api_key: '{}', not abc", ["a.b!c@d#e%f"]),
+        ("passwd =x9 and x9 stays", "passwd ={} and x9 stays", ["x9"]),
+        ("token=abcdefgh1234567!zyxwvut7654321 end", "token={} end", ["abcdefgh1234567!zyxwvut7654321"]),
+        ("Author: Smith of auth_key=k1 and secretKey=k2", "Author: Smith of auth_key={} and secretKey={}", ["k1", "k2"]),
+        ('password: "one  two\nthree" four', 'password: "{}  {}\n{}" four', ["one", "two", "three"]),
+    ]
+    rows = secret_rows() + [(1000 + i, t[0], "src/a") for i, t in enumerate(told)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {}
+    for r in secret_scan.secret_scan(docs).orderBy("word_no", "part_no").collect():
+        if r.doc_id >= 1000:
+            found.setdefault(r.doc_id - 1000, []).append((r.candidate, r.is_secret))
+    assert found == {i: [(v, True) for v in t[2]] for i, t in enumerate(told)}
+    masked = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    for i, (_, shape, values) in enumerate(told):
+        assert masked[1000 + i] == shape.format(*[secret_scan.MASK] * len(values))
+
+
 def test_native_plans(spark):
     docs = spark.createDataFrame(secret_rows(), "doc_id long, text string, source string")
     messages = spark.createDataFrame([(1, 0, "u", "x")], "conv_id long, turn long, role string, text string")
