@@ -219,6 +219,27 @@ def test_flow_of_overlapping_sources():
     assert all(taken[p] <= 2 * sizes[p] for p in sizes)
 
 
+def test_overlapping_memberships_are_mixed_end_to_end(spark):
+    rng = random.Random(6)
+    kinds = [["a"], ["a", "b"], ["b"], ["b", "c"], ["d"]]
+    rows = [(i, "w " * rng.randint(1, 9), kinds[i % 5]) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, members array<string>")
+    got = mixing.mix(docs, "members", {"a": 6, "b": 1, "c": 1, "d": 1}).collect()
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in got:
+        sizes[tuple(r.members)] += r.size
+        taken[tuple(r.members)] += r.taken
+    held = {s: sum(n for p, n in sizes.items() if s in p) for s in "abcd"}
+    total = sum(sizes.values())
+    targets = mixing.shares(held, {"a": 6, "b": 1, "c": 1, "d": 1}, total)
+    want = mixing.routed(sizes, targets)
+    for pattern in sizes:
+        assert abs(taken[pattern] - want[pattern]) <= 9, pattern
+    # b's own documents leave its quota, so those of a and b serve a before any is used a third time
+    assert taken["a",] <= 2 * sizes["a",] + 9 and taken["a", "b"] > sizes["a", "b"] - 9
+    assert abs(taken["d",] - targets["d"]) <= 9
+
+
 def test_mixed_documents_repeat_rows(docs):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
