@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quirelake.llm.ann_forest import nearest
 from quirelake.llm.bpe import round_trips
 from quirelake.llm.compact_windows import repeated_passages
+from quirelake.llm.filter_audit import AUDIT_SQL, audit, marked
 from quirelake.llm.mixing import mix
 from quirelake.llm.ngram_join import ngram_groups
 from quirelake.llm.quality import quality_rules
@@ -78,3 +79,8 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quotation_links")
 def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_text(linked(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
