@@ -9,6 +9,7 @@ from quirelake.llm.bpe import round_trips
 from quirelake.llm.compact_windows import repeated_passages
 from quirelake.llm.filter_audit import AUDIT_SQL, audit, marked
 from quirelake.llm.mixing import mix
+from quirelake.llm.multiset_hash import compared_to_edits
 from quirelake.llm.ngram_join import ngram_groups
 from quirelake.llm.quality import quality_rules
 from quirelake.llm.quotes import chat_text, linked
@@ -84,3 +85,8 @@ def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_filter_audit", AUDIT_SQL)
 def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op12_multiset_hash")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_to_edits(table(spark, sf_dir, "documents"))

@@ -44,8 +44,8 @@ def failures(docs):
 
 
 def brute(docs, labels):
-    good = {i for i, quality, _ in labels if quality == 1}
-    toxic = {i for i, _, mark in labels if mark == 1}
+    good = {i for i, quality, _ in labels if i is not None and quality == 1}
+    toxic = {i for i, _, mark in labels if i is not None and mark == 1}
     failed = failures(docs)
     found, shapley = [], Counter()
     for part in {p for _, p, _ in failed}:
