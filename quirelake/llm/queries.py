@@ -17,6 +17,7 @@ from quirelake.llm.registry import QUERIES, SQL, query, table
 from quirelake.llm.secret_scan import secret_scan
 from quirelake.llm.token_counts import token_counts
 from quirelake.llm.toxicity import toxicity as toxicity_scores
+from quirelake.llm.vantage_clusters import CLUSTERS_SQL, clustered
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -90,3 +91,8 @@ def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_multiset_hash")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_to_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vantage_clusters", CLUSTERS_SQL)
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings"))
