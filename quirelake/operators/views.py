@@ -79,15 +79,15 @@ def naver_info_weekdays(df: DataFrame) -> DataFrame:
     ).withColumn("release_day", release_day("weekday"))
 
 
-def naver_title_days(df: DataFrame) -> DataFrame:
-    """X12 less the tags: the weekdays of titles that have at least one tag.
+def naver_title_days(df: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """X12 less the tags: the weekdays of titles that have at least one tag, or of all.
 
     What a DISTINCT over (title, weekday) needs, without first multiplying
     every weekday by every tag.
     """
     info = F.col("gfpAdCustomParam")
     return (
-        df.where(F.size(info["tags"]) > 0)
+        df.where(F.lit(keep_empty) | (F.size(info["tags"]) > 0))
         .select(
             *_dated(df),
             _platform(NAVER),

@@ -11,6 +11,7 @@ The variants differ in a few rules only, which :class:`Variant` names.
 """
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
@@ -23,7 +24,9 @@ from quirelake.operators import curation, views
 from quirelake.operators.compacted import compact_shape
 from quirelake.operators.skew import DEFAULT_POLICY, SkewPolicy
 from quirelake.sources.landing import of_titles, read_landing
+from quirelake.sources.layout import staged_path
 from quirelake.sources.tables import (
+    Pair,
     backup,
     read_curated,
     read_history,
@@ -32,7 +35,8 @@ from quirelake.sources.tables import (
     write_history,
     write_optimized,
 )
-from quirelake.streaming.compaction import finish, read_merged, start_compaction
+from quirelake.streaming.compaction import compact, read_merged
+from quirelake.streaming.ledger import cover, finished_batches, uncovered
 
 Source = Callable[[str, str], DataFrame]
 
@@ -103,7 +107,7 @@ def optimize_days(
                 spark, root, platform, target, dates, multiline=multiline
             )
             shaped = compact_shape(docs, platform, target, variant.all_weekdays)
-            write_optimized(shaped, root, platform, target, mode, max_files)
+            write_optimized(shaped, root, platform, target, mode, max_files, dates)
 
 
 def compact_history(
@@ -115,24 +119,30 @@ def compact_history(
     max_files: int | None = None,
     multiline: bool = True,
 ) -> None:
-    """Resume the compaction of all targets, then shape them.
+    """Resume the compaction of all targets, then shape what is new.
 
-    The streams of all targets run at the same time.
+    Targets are compacted side by side; one that fails stops none of the others, and is
+    raised in the end. Only landing dates with batches that were not shaped yet are read and
+    written again, also those that an interrupted run left.
     """
     dates = None if dates is None else list(dates)
     todo = [(p, t) for p in platforms for t in HISTORY.targets(p)]
-    running = [
-        start_compaction(
-            spark, root, p, t, dates, files_per_batch, multiline=multiline
-        )
-        for p, t in todo
-    ]
-    for query in running:
-        finish(query)
-    for platform, target in todo:
-        docs = read_merged(spark, root, platform, target)
-        shaped = compact_shape(docs, platform, target, all_weekdays=True)
-        write_history(shaped, root, platform, target, max_files=max_files)
+    with ThreadPoolExecutor(len(todo)) as pool:
+        running = [
+            pool.submit(compact, spark, root, p, t, dates, files_per_batch, multiline=multiline)
+            for p, t in todo
+        ]
+    for done in running:
+        done.result()
+    for platform in platforms:
+        new = uncovered(spark, root, "shaped", platform, HISTORY.targets(platform)).collect()
+        for target in HISTORY.targets(platform):
+            dirty = sorted({r.landing_date for r in new if r.target == target})
+            if dirty:
+                docs = read_merged(spark, root, platform, target, dirty)
+                shaped = compact_shape(docs, platform, target, all_weekdays=True)
+                write_history(shaped, root, platform, target, max_files=max_files, dates=dirty)
+        cover(new, spark, root, "shaped", platform)
 
 
 # --- compacted frames -> curated tables ------------------------------------------
@@ -142,7 +152,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _kakao(read: Source, variant: Variant, keep_empty: bool, policy: SkewPolicy):
+def _kakao(
+    read: Source, variant: Variant, keep_empty: bool, join: str, policy: SkewPolicy
+):
     cards = views.kakao_cards(read(KAKAO, "titles"))
     if variant.finished:
         finished = views.kakao_cards(read(KAKAO, "finished_titles"), completed=True)
@@ -157,19 +169,22 @@ def _kakao(read: Source, variant: Variant, keep_empty: bool, policy: SkewPolicy)
         views.kakao_episodes(read(KAKAO, "episodes"), variant.date_field),
         views.kakao_likes(read(KAKAO, "episode_likes")),
         views.kakao_comments(read(KAKAO, "comments")),
+        join=join,
         require_date=variant.require_date,
         policy=policy,
     )
     return titles, genres, episodes
 
 
-def _naver(read: Source, variant: Variant, keep_empty: bool, policy: SkewPolicy):
+def _naver(
+    read: Source, variant: Variant, keep_empty: bool, join: str, policy: SkewPolicy
+):
     listed = views.naver_titles(read(NAVER, "titles"))
     if variant.finished:
         finished = views.naver_titles(read(NAVER, "finished_titles"), completed=True)
         listed = listed.unionByName(finished)
     info = read(NAVER, "title_info")
-    weekdays = views.naver_title_days(info) if variant.day_from_info else None
+    weekdays = views.naver_title_days(info, keep_empty) if variant.day_from_info else None
     titles = curation.curate_titles(listed, weekdays, policy)
     genres = curation.curate_genres(views.naver_genres(info))
     likes = views.naver_likes(read(NAVER, "episode_likes"))
@@ -179,6 +194,7 @@ def _naver(read: Source, variant: Variant, keep_empty: bool, policy: SkewPolicy)
         views.naver_episodes(read(NAVER, "episodes")),
         likes,
         views.naver_comments(read(NAVER, "comments")),
+        join=join,
         require_date=variant.require_date,
         policy=policy,
     )
@@ -194,13 +210,16 @@ def curate_tables(
     variant: Variant = DAILY,
     keep_empty: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
+    join: str = "chained",
 ) -> dict[str, DataFrame]:
     """The curated tables of all platforms.
 
     ``read(platform, target)`` gives the compacted frame of a target, with a
     ``landing_date`` that every DISTINCT and every join is kept within.
+    ``keep_empty`` keeps titles without keywords or tags (G7), ``join`` is how comments
+    are reached, "chained" or "star" (J4, J5).
     """
-    made = [_PLATFORM_RULES[p](read, variant, keep_empty, policy) for p in platforms]
+    made = [_PLATFORM_RULES[p](read, variant, keep_empty, join, policy) for p in platforms]
     titles, genres, episodes = (_union(list(frames)) for frames in zip(*made))
     return {"titles": titles, "genres": genres, "episodes": episodes}
 
@@ -210,10 +229,12 @@ def write_tables(
     root: str,
     mode: str = "overwrite",
     max_files: int | None = None,
+    scope: Iterable[Pair] | None = None,
 ) -> None:
-    """K3: write the curated tables, one job each."""
+    """K3: write the curated tables, one job each, replacing exactly the partitions of the scope."""
+    scope = None if scope is None else list(scope)
     for table, frame in tables.items():
-        write_curated(frame, root, table, mode, max_files)
+        write_curated(frame, root, table, mode, max_files, scope)
 
 
 # --- whole runs ---------------------------------------------------------------------
@@ -227,14 +248,19 @@ def curate_days(
     mode: str = "overwrite",
     keep_empty: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
+    join: str = "chained",
 ) -> None:
-    """O1, O2: curate compacted days and write them."""
-    dates = list(dates)
+    """O1, O2: curate compacted days and write them.
+
+    A date and platform for which nothing is left is emptied.
+    """
+    dates, platforms = list(dates), list(platforms)
 
     def read(platform: str, target: str) -> DataFrame:
         return read_optimized(spark, root, platform, target, dates)
 
-    write_tables(curate_tables(read, platforms, DAILY, keep_empty, policy), root, mode)
+    tables = curate_tables(read, platforms, DAILY, keep_empty, policy, join)
+    write_tables(tables, root, mode, scope=[(d, p) for d in dates for p in platforms])
 
 
 def run_days(
@@ -245,11 +271,13 @@ def run_days(
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
     multiline: bool = True,
+    keep_empty: bool = False,
+    join: str = "chained",
 ) -> None:
     """O1, O2: landed documents of one or many dates to curated tables."""
-    dates = list(dates)
+    dates, platforms = list(dates), list(platforms)
     optimize_days(spark, root, dates, platforms, mode=mode, multiline=multiline)
-    curate_days(spark, root, dates, platforms, mode, policy=policy)
+    curate_days(spark, root, dates, platforms, mode, keep_empty, policy, join)
 
 
 def curate_history(
@@ -259,14 +287,41 @@ def curate_history(
     as_of: date | None = None,
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
+    keep_empty: bool = False,
+    join: str = "chained",
+    everything: bool = False,
 ) -> None:
-    """O3: curate the compacted history, under its landing dates or one date."""
+    """O3: curate the compacted history, under its landing dates or one date.
+
+    Under its landing dates, only those with batches that no run has curated yet are read
+    and replaced, unless ``everything`` is asked for (say, after a change of the options).
+    Under one date all history makes one partition, and is read whole.
+    """
+    platforms, dirty, new = list(platforms), {}, {}
+    for platform in platforms:
+        targets = HISTORY.targets(platform)
+        batches = finished_batches if everything else uncovered
+        new[platform] = batches(spark, root, "curated", platform, targets).collect()
+        dirty[platform] = sorted({r.landing_date for r in new[platform]})
 
     def read(platform: str, target: str) -> DataFrame:
+        if as_of is None:
+            return read_history(spark, root, platform, target, dirty[platform])
         rows = read_history(spark, root, platform, target)
-        return rows if as_of is None else rows.withColumn("landing_date", F.lit(as_of))
-
-    write_tables(curate_tables(read, platforms, HISTORY, policy=policy), root, mode)
+        return rows.withColumn("landing_date", F.lit(as_of))
+
+    if as_of is None:
+        platforms = [p for p in platforms if dirty[p]]
+        scope = [(day, p) for p in platforms for day in dirty[p]]
+    else:
+        scope = [(as_of, p) for p in platforms]
+    if not scope:
+        return
+    tables = curate_tables(read, platforms, HISTORY, keep_empty, policy, join)
+    write_tables(tables, root, mode, scope=scope)
+    if as_of is None:
+        for platform in platforms:
+            cover(new[platform], spark, root, "curated", platform)
 
 
 def run_history(
@@ -278,10 +333,13 @@ def run_history(
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
     multiline: bool = True,
+    keep_empty: bool = False,
+    join: str = "chained",
 ) -> None:
     """O3: resumable backfill of ongoing and finished titles."""
+    platforms = list(platforms)
     compact_history(spark, root, dates, platforms, multiline=multiline)
-    curate_history(spark, root, platforms, as_of, mode, policy)
+    curate_history(spark, root, platforms, as_of, mode, policy, keep_empty, join)
 
 
 def direct_source(
@@ -311,6 +369,27 @@ def direct_source(
     return read
 
 
+#: Targets that more than one curated table is made from.
+FANNED_OUT = {(NAVER, "title_info"), (KAKAO, "titles"), (KAKAO, "finished_titles")}
+
+
+def staged(read: Source, root: str) -> Source:
+    """The same frames, those of targets that several tables need written once and read back,
+    so that every landed document is parsed once."""
+    held: dict[tuple[str, str], DataFrame] = {}
+
+    def read_staged(platform: str, target: str) -> DataFrame:
+        if (platform, target) not in FANNED_OUT:
+            return read(platform, target)
+        if (platform, target) not in held:
+            frame, path = read(platform, target), staged_path(root, platform, target)
+            frame.write.mode("overwrite").parquet(path)
+            held[platform, target] = frame.sparkSession.read.schema(frame.schema).parquet(path)
+        return held[platform, target]
+
+    return read_staged
+
+
 def run_direct(
     spark: SparkSession,
     root: str,
@@ -321,10 +400,14 @@ def run_direct(
     mode: str = "overwrite",
     policy: SkewPolicy = DEFAULT_POLICY,
     multiline: bool = True,
+    keep_empty: bool = False,
+    join: str = "chained",
 ) -> None:
     """O3: backfill without a compacted layer."""
-    read = direct_source(spark, root, dates, folders, titles, multiline)
-    write_tables(curate_tables(read, platforms, DIRECT, policy=policy), root, mode)
+    dates, platforms = list(dates), list(platforms)
+    read = staged(direct_source(spark, root, dates, folders, titles, multiline), root)
+    tables = curate_tables(read, platforms, DIRECT, keep_empty, policy, join)
+    write_tables(tables, root, mode, scope=[(d, p) for d in dates for p in platforms])
 
 
 def direct_views(read: Source, platform: str) -> dict[str, DataFrame]:

@@ -1,6 +1,12 @@
 """Sources and sinks of the lake."""
 
-from quirelake.sources.landing import inventory, of_titles, read_files, read_landing
+from quirelake.sources.landing import (
+    inventory,
+    inventory_changes,
+    of_titles,
+    read_files,
+    read_landing,
+)
 from quirelake.sources.tables import (
     backup,
     preview,
@@ -16,6 +22,7 @@ from quirelake.sources.tables import (
 __all__ = [
     "backup",
     "inventory",
+    "inventory_changes",
     "of_titles",
     "preview",
     "read_curated",

@@ -18,7 +18,12 @@ from quirelake.schemas import (
     OPAQUE,
     VARIANT_COLUMN,
 )
-from quirelake.sources.layout import file_pattern, landing_folder, landing_path
+from quirelake.sources.layout import file_pattern, landing_path
+
+
+INVENTORY = (
+    "path string, length bigint, modified timestamp, filename string, landing_date date"
+)
 
 
 def _options(platform: str, target: str, multiline: bool, files: str) -> dict[str, str]:
@@ -169,15 +174,51 @@ def of_titles(docs: DataFrame, titles: DataFrame) -> DataFrame:
     return tagged.join(wanted, "__folder", "left_semi").drop("__folder")
 
 
-def inventory(spark: SparkSession, root: str, platform: str, target: str) -> DataFrame:
-    """Path, length and modification time of every landed file of a target.
+def inventory(
+    spark: SparkSession,
+    root: str,
+    platform: str,
+    target: str,
+    dates: Iterable[date] | None = None,
+) -> DataFrame:
+    """Path, length and modification time of every landed file of a target, its
+    ``filename`` as documents carry it, and its landing date (NULL outside date folders).
 
-    The content column is pruned, so no file is opened.
+    Only the folders of the given dates are listed. The content column is pruned, so no
+    file is opened.
     """
-    files = (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
-        .load(landing_folder(root, platform, target))
     )
-    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+    try:
+        files = reader.load(landing_path(root, platform, target, dates))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], INVENTORY)
+    listed = files.select("path", "length", F.col("modificationTime").alias("modified"),
+                          F.col("_metadata.file_path").alias("filename"))
+    return at_depth(listed.withColumn("landing_date", landing_date("filename")), target)
+
+
+def inventory_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What happened to landed files between two inventories.
+
+    One row per file that is ``added``, ``gone``, ``grown`` or ``changed`` (another length
+    or time stamp, but not longer), with both lengths. ``landing_date`` is that of the file.
+    """
+    old = before.select("path", F.col("length").alias("length_before"),
+                        F.col("modified").alias("__before"), F.col("landing_date").alias("__date"))
+    new = after.select("path", F.col("length").alias("length_after"),
+                       F.col("modified").alias("__after"), "landing_date")
+    change = F.expr("""
+        CASE WHEN __before IS NULL THEN 'added' WHEN __after IS NULL THEN 'gone'
+             WHEN length_after > length_before THEN 'grown'
+             WHEN length_after < length_before OR __before <> __after THEN 'changed' END""")
+    met = old.join(new, "path", "full").withColumn("change", change)
+    return met.where("change IS NOT NULL").select(
+        "path", F.coalesce("landing_date", "__date").alias("landing_date"), "change",
+        "length_before", "length_after",
+    )

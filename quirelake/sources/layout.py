@@ -1,12 +1,12 @@
 """K5: where each layer of the lake lives.
 
     raw/{platform}/{target}/YYYY/MM/DD/...json           landed documents
-    historical/merged/{platform}/{target}                 resumable compaction
-    historical/optimized/{target}/platform=               compacted history
+    historical/merged/{platform}/{target}/landing_date=/batch=   resumable compaction
+    historical/optimized/{target}/platform=/landing_date=        compacted history
     optimized/{target}/year=/month=/day=/platform=        compacted days
     processed/{table}/year=/month=/day=/platform=         curated tables
-    temp/{platform}/{target}                              backups
-    checkpoints/{platform}/{target}                       compaction progress
+    temp/{platform}/{target}                              backups, staged targets
+    checkpoints/{platform}/...                            ledgers of compaction and later stages
 """
 
 from collections.abc import Iterable
@@ -65,6 +65,14 @@ def checkpoint_path(root: str, platform: str, target: str) -> str:
     return f"{root}/checkpoints/{platform}/{target}"
 
 
+def covered_path(root: str, platform: str, stage: str) -> str:
+    return f"{root}/checkpoints/{platform}/covered/{stage}"
+
+
+def staged_path(root: str, platform: str, target: str) -> str:
+    return f"{root}/temp/staged/{platform}/{target}"
+
+
 def history_root(root: str, target: str) -> str:
     return f"{root}/historical/optimized/{target}"
 

@@ -19,8 +19,8 @@ from quirelake.sources.layout import (
 )
 
 
-def _read(spark: SparkSession, root: str, glob: str, ddl: str) -> DataFrame:
-    """Read below a table root, keeping the partition columns.
+def read_or_empty(spark: SparkSession, root: str, glob: str, ddl: str) -> DataFrame:
+    """Read below a table root, keeping the partition columns; nothing there is an empty frame.
 
     The glob limits the listing to the partitions it names; ``basePath`` makes
     Spark read partition values from the whole path.
@@ -49,7 +49,7 @@ def _scoped(
     dates: Iterable[date] | None,
     platforms: list[str] | None,
 ) -> DataFrame:
-    frame = _read(spark, root, _days_glob(dates, platforms), ddl)
+    frame = read_or_empty(spark, root, _days_glob(dates, platforms), ddl)
     if platforms is None:
         return frame
     return frame.where(F.col("platform").isin(*platforms))
@@ -70,14 +70,20 @@ def read_optimized(
 
 
 def read_history(
-    spark: SparkSession, root: str, platform: str, target: str
+    spark: SparkSession,
+    root: str,
+    platform: str,
+    target: str,
+    dates: Iterable[date] | None = None,
 ) -> DataFrame:
-    """One platform's compacted history of a target."""
+    """One platform's compacted history of a target, of all or the given landing dates."""
     ddl = schemas.OPTIMIZED[platform, target].replace(
         ", year int, month int, day int", ", landing_date date"
     )
-    table = history_root(root, target)
-    return _read(spark, table, f"platform={platform}", ddl).drop("platform")
+    glob = f"platform={platform}"
+    if dates is not None:
+        glob += "/" + braces(f"landing_date={d}" for d in dates)
+    return read_or_empty(spark, history_root(root, target), glob, ddl).drop("platform")
 
 
 def read_curated(
@@ -146,12 +152,67 @@ def partitioned(df: DataFrame) -> DataFrame:
     ).drop("landing_date")
 
 
+def _listed(spark: SparkSession, path: str, parts: list[str]) -> DataFrame:
+    """The data files of the partition folders ``parts``, from the listing alone."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.option("pathGlobFilter", "*.parquet").load(f"{path}/{braces(parts)}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, part string")
+    depth = parts[0].count("/") + 1
+    folder = F.substring_index(F.substring_index("path", "/", -1 - depth), "/", depth)
+    return files.select("path", folder.alias("part"))
+
+
 def _save(
-    df: DataFrame, path: str, by: list[str], mode: str, max_files: int | None
+    df: DataFrame,
+    path: str,
+    by: list[str],
+    mode: str,
+    max_files: int | None,
+    parts: Iterable[str] | None = None,
 ) -> None:
-    """``overwrite`` replaces exactly the partitions written; ``append`` adds."""
+    """``overwrite`` replaces exactly the partitions written; ``append`` adds.
+
+    ``parts`` are the partitions that an overwriting run answers for, as folders: it
+    also empties those for which it has no rows. What was there before is known by one file
+    of each partition: a partition that still holds it was not written. An interrupted
+    commit is completed by running it again.
+    """
+    spark = df.sparkSession
+    parts = sorted(set(parts or ())) if mode == "overwrite" else []
+    old = _listed(spark, path, parts).groupBy("part").agg(F.min("path").alias("path")) if parts else None
+    old = [] if old is None else old.collect()  # one row per partition
     writer = in_files(df, by, max_files).write.mode(mode).partitionBy(*by)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    if not old:
+        return
+    kept = spark.createDataFrame(old).select("path").hint("broadcast")
+    stale = _listed(spark, path, [r.part for r in old]).join(kept, "path", "left_semi")
+    empty = df.drop(*by).limit(0)
+    for row in stale.select("part").collect():
+        empty.write.mode("overwrite").parquet(f"{path}/{row.part}")
+
+
+#: (landing date, platform)
+Pair = tuple[date, str]
+
+
+def in_scope(df: DataFrame, scope: Iterable[Pair] | None) -> DataFrame:
+    """Rows of the asked dates and platforms."""
+    if scope is None:
+        return df
+    pairs = df.sparkSession.createDataFrame(list(scope), "landing_date date, platform string")
+    # one row per partition of a table
+    return df.join(F.broadcast(pairs.distinct()), ["landing_date", "platform"], "left_semi")
+
+
+def _parts(scope: Iterable[Pair] | None) -> list[str] | None:
+    if scope is None:
+        return None
+    return [f"{day_partition(day)}/platform={platform}" for day, platform in scope]
 
 
 def write_optimized(
@@ -161,11 +222,16 @@ def write_optimized(
     target: str,
     mode: str = "overwrite",
     max_files: int | None = None,
+    dates: Iterable[date] | None = None,
 ) -> None:
-    """K1: a compacted target of one platform, for every landing date it holds."""
-    rows = partitioned(df).withColumn("platform", F.lit(platform))
+    """K1: a compacted target of one platform, for every landing date it holds.
+
+    With ``dates`` exactly these dates are replaced, also by nothing.
+    """
+    scope = None if dates is None else [(day, platform) for day in dates]
+    rows = partitioned(in_scope(df.withColumn("platform", F.lit(platform)), scope))
     path = optimized_root(root, target)
-    _save(rows, path, list(PARTITION_COLUMNS), mode, max_files)
+    _save(rows, path, list(PARTITION_COLUMNS), mode, max_files, _parts(scope))
 
 
 def write_history(
@@ -175,10 +241,16 @@ def write_history(
     target: str,
     mode: str = "overwrite",
     max_files: int | None = None,
+    dates: Iterable[date] | None = None,
 ) -> None:
-    """K1: the compacted history of one platform's target."""
-    rows = df.withColumn("platform", F.lit(platform))
-    _save(rows, history_root(root, target), ["platform"], mode, max_files)
+    """K1: the compacted history of one platform's target, by landing date.
+
+    With ``dates`` exactly these dates are replaced, also by nothing.
+    """
+    scope = None if dates is None else [(day, platform) for day in dates]
+    rows = in_scope(df.withColumn("platform", F.lit(platform)), scope)
+    parts = None if scope is None else [f"platform={p}/landing_date={day}" for day, p in scope]
+    _save(rows, history_root(root, target), ["platform", "landing_date"], mode, max_files, parts)
 
 
 def write_curated(
@@ -187,13 +259,18 @@ def write_curated(
     table: str,
     mode: str = "overwrite",
     max_files: int | None = None,
+    scope: Iterable[Pair] | None = None,
 ) -> None:
     """K3: a curated table, partitioned by landing date and platform.
 
-    A rerun of a date replaces that date's rows.
+    ``scope`` names the dates and platforms that the rows answer for: exactly these
+    partitions are replaced, those without rows by nothing. Without it the partitions that
+    have rows are.
     """
+    scope = None if scope is None else list(scope)
     path = curated_root(root, table)
-    _save(partitioned(df), path, list(PARTITION_COLUMNS), mode, max_files)
+    rows = partitioned(in_scope(df, scope))
+    _save(rows, path, list(PARTITION_COLUMNS), mode, max_files, _parts(scope))
 
 
 def backup(

@@ -1,5 +1,9 @@
 """Whole runs over a lake, against plain loops over the same documents."""
 
+import os
+import shutil
+from glob import glob
+
 import pytest
 
 from quirelake.operators.skew import SkewPolicy
@@ -50,6 +54,76 @@ def test_history_edge_cases(spark, tmp_path):
     assert_curated(spark, root, docs, BOTH, runs.HISTORY)
 
 
+def test_rerun_of_a_date_that_lost_its_documents(spark, tmp_path):
+    docs = {k: v for k, v in landed.edge_cases().items() if k[0] == "naver"}
+    root = lake(tmp_path, docs)
+    runs.run_days(spark, root, BOTH, ["naver"])
+    shutil.rmtree(tmp_path / "raw/naver/titles" / f"{DAY1:%Y/%m/%d}")
+    shutil.rmtree(tmp_path / "raw/naver/title_info" / f"{DAY1:%Y/%m/%d}")
+    runs.run_days(spark, root, [DAY1], ["naver"])
+    left = {k: v for k, v in docs.items()
+            if not (k[2] == DAY1 and k[1] in ("titles", "title_info"))}
+    assert_curated(spark, root, left, BOTH, runs.DAILY)
+
+
+def files_of(root, *parts):
+    found = glob("/".join([root, *parts, "**", "*.parquet"]), recursive=True)
+    return {f: os.path.getmtime(f) for f in found}
+
+
+def test_history_reads_and_writes_only_dates_with_new_files(spark, tmp_path):
+    docs = landed.edge_cases()
+    first = {k: v for k, v in docs.items() if k[2] == DAY1}
+    root = lake(tmp_path, first)
+    runs.run_history(spark, root)
+    day1 = ("processed", "*", "year=2025", "month=02", "day=27")
+    before = files_of(root, *day1), files_of(root, "historical", "optimized", "*", "*", f"landing_date={DAY1}")
+    assert before[0] and before[1]
+    lake(tmp_path, docs)  # the second date lands; files of the first are written as they were
+    runs.run_history(spark, root)
+    assert_curated(spark, root, docs, BOTH, runs.HISTORY)
+    after = files_of(root, *day1), files_of(root, "historical", "optimized", "*", "*", f"landing_date={DAY1}")
+    assert before == after
+    untouched = files_of(root, "processed"), files_of(root, "historical", "optimized")
+    runs.run_history(spark, root)
+    assert untouched == (files_of(root, "processed"), files_of(root, "historical", "optimized"))
+    runs.curate_history(spark, root, everything=True)
+    assert_curated(spark, root, docs, BOTH, runs.HISTORY)
+
+
+def test_history_goes_on_after_a_failure_between_its_stages(spark, tmp_path, monkeypatch):
+    docs = landed.edge_cases()
+    root = lake(tmp_path, docs)
+
+    def lost(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "write_history", lost)
+        with pytest.raises(RuntimeError):
+            runs.run_history(spark, root)
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "write_curated", lost)
+        with pytest.raises(RuntimeError):
+            runs.run_history(spark, root)
+    runs.run_history(spark, root)
+    assert_curated(spark, root, docs, BOTH, runs.HISTORY)
+
+
+def test_choices_reach_the_runs(spark, tmp_path):
+    root = lake(tmp_path, landed.edge_cases())
+    found = {}
+    for choice in ({}, {"keep_empty": True}, {"join": "star"}):
+        runs.run_days(spark, root, BOTH, **choice)
+        found[str(choice)] = {t: rows(f) for t, f in runs.read_scope(spark, root).items()}
+        source = runs.direct_source(spark, root, BOTH, all_weekdays=False)
+        want = runs.curate_tables(source, variant=runs.DAILY, **choice)
+        for table, frame in want.items():
+            assert frame.count() == len(found[str(choice)][table])
+    plain, kept, star = found.values()
+    assert len(kept["titles"]) > len(plain["titles"]) and star["episodes"] != plain["episodes"]
+
+
 def test_history_under_one_date(spark, tmp_path):
     only = {k: v for k, v in landed.edge_cases().items() if k[2] == DAY2}
     as_day1 = {(p, t, DAY1): f for (p, t, _), f in only.items()}

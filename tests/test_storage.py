@@ -2,6 +2,8 @@
 
 import json
 import os
+import shutil
+from datetime import timedelta
 from glob import glob
 from pathlib import Path
 
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from quirelake import sources
 from quirelake.operators.compacted import articles
 from quirelake.sources.layout import backup_path, landing_path, merged_path
-from quirelake.streaming import compact, read_merged
+from quirelake.streaming import compact, pending, read_ledger, read_merged
 from tests import landed
 from tests.conftest import rows
 from tests.landed import DAY1, DAY2
@@ -59,7 +61,67 @@ def test_compaction_resumes(spark, root):
 
 def test_compaction_file_count(spark, root):
     compact(spark, root, "naver", "episode_likes", output_files=2)
-    assert len(parquet_files(merged_path(root, "naver", "episode_likes"))) <= 2
+    batches = glob(merged_path(root, "naver", "episode_likes") + "/landing_date=*/batch=*")
+    assert len(batches) == 2  # one per date
+    assert all(1 <= len(parquet_files(batch)) <= 2 for batch in batches)
+
+
+def dated_info(root, days):
+    for i, day in enumerate(days):
+        docs = {("naver", "title_info", day): {str(i): {"gfpAdCustomParam": {"titleId": i}}}}
+        landed.write(Path(root), docs)
+
+
+def test_count_above_a_hundred_batches(spark, tmp_path):
+    days = [DAY1 + timedelta(days=i) for i in range(103)]
+    dated_info(tmp_path, days)
+    assert compact(spark, str(tmp_path), "naver", "title_info", files_per_batch=40) == 103
+    ledger = read_ledger(spark, str(tmp_path), "naver", "title_info")
+    assert ledger.where("batch = 0 AND documents = 1").count() == 103
+    merged = read_merged(spark, str(tmp_path), "naver", "title_info", days[7:9])
+    assert rows(merged, "gfpAdCustomParam.titleId", "landing_date") == [(7, days[7]), (8, days[8])]
+
+
+def test_batch_written_but_not_entered_is_written_anew(spark, root):
+    compact(spark, root, "naver", "comments")
+    # as if the driver was lost before the ledger was written for the second date
+    shutil.rmtree(f"{root}/checkpoints/naver/comments/ledger/landing_date={DAY2}")
+    assert rows(read_merged(spark, root, "naver", "comments"), "landing_date") == [(DAY1,)] * 4
+    late = {("naver", "comments", DAY2): {"7/1": {"result": {"count": {"total": 0}}}}}
+    landed.write(Path(root), late)
+    assert compact(spark, root, "naver", "comments") == 2
+    merged = read_merged(spark, root, "naver", "comments")
+    assert merged.count() == 6 and merged.select("filename").distinct().count() == 6
+
+
+def test_ledger_knows_odd_names_and_empty_files(spark, tmp_path):
+    days = [DAY1]
+    dated_info(tmp_path, days)
+    folder = tmp_path / "raw/naver/title_info/2025/02/27"
+    (folder / "empty.json").write_text("[]")
+    (folder / "a {b} [c] 100%.json").write_text('{"gfpAdCustomParam": {"titleId": 5}}')
+    assert compact(spark, str(tmp_path), "naver", "title_info") == 2
+    ledger = read_ledger(spark, str(tmp_path), "naver", "title_info")
+    assert rows(ledger, "documents") == [(0,), (1,), (1,)]
+    assert compact(spark, str(tmp_path), "naver", "title_info") == 0
+    assert pending(spark, str(tmp_path), "naver", "title_info").count() == 0
+
+
+def test_changes_between_inventories(spark, root):
+    folder = f"{root}/raw/kakao/episode_likes/2025/02/27"
+    before = sources.inventory(spark, root, "kakao", "episode_likes").collect()
+    ddl = "path string, length bigint, modified timestamp, filename string, landing_date date"
+    names = sorted(glob(f"{folder}/**/*.json", recursive=True))
+    os.remove(names[0])
+    Path(names[1]).write_text(Path(names[1]).read_text() + "    ")
+    Path(names[2]).write_text("{}")
+    late = {("kakao", "episode_likes", DAY2): {"9/9": {"data": {"episodeId": 9}}}}
+    landed.write(Path(root), late)
+    after = sources.inventory(spark, root, "kakao", "episode_likes")
+    changes = sources.inventory_changes(spark.createDataFrame(before, ddl), after)
+    got = rows(changes, "change", "landing_date")
+    assert got == [("added", DAY2), ("changed", DAY1), ("gone", DAY1), ("grown", DAY1)]
+    assert sources.inventory_changes(after, after).count() == 0
 
 
 def test_compaction_of_one_date(spark, root):
@@ -142,6 +204,23 @@ def test_curated_overwrite_is_per_partition(spark, tmp_path):
     assert sources.read_curated(spark, root, "genres", platforms=["naver"]).count() == 2
 
 
+def test_a_rerun_empties_what_it_no_longer_finds(spark, tmp_path):
+    root = str(tmp_path)
+    first = curated(spark, (DAY1, "naver", 1, "a"), (DAY1, "kakao", 2, "b"), (DAY2, "naver", 3, "c"))
+    sources.write_curated(first, root, "genres")
+    scope = [(DAY1, "naver"), (DAY2, "naver"), (DAY2, "kakao")]
+    # rows outside of the scope are none of this commit's business
+    rerun = curated(spark, (DAY2, "naver", 4, "d"), (DAY1, "kakao", 9, "z"))
+    for _ in range(2):
+        sources.write_curated(rerun, root, "genres", scope=scope)
+        whole = sources.read_curated(spark, root, "genres")
+        assert rows(whole, "title_id", "platform") == [(2, "kakao"), (4, "naver")]
+    sources.write_curated(rerun.limit(0), root, "genres", scope=scope[1:])
+    assert rows(sources.read_curated(spark, root, "genres"), "title_id") == [(2,)]
+    sources.write_curated(first, root, "genres", mode="append", scope=scope)
+    assert rows(sources.read_curated(spark, root, "genres"), "title_id") == [(1,), (2,), (3,)]
+
+
 def test_views_for_sql(spark, tmp_path):
     root = str(tmp_path)
     sources.write_curated(curated(spark, (DAY1, "naver", 1, "a")), root, "genres")
