@@ -2,8 +2,9 @@
 
 Spark's adaptive skew join splits only the preserved side of an outer join,
 so a key that holds a large share of the *right* side would end in one task.
-Here heavy keys are counted exactly (with map-side combine), the side that
-owns most of a key's rows is spread over several salts, and the other sides'
+Here a mergeable sketch, one small state per task, names the keys that may be heavy, and
+only those are counted exactly; no side is shuffled on its keys for it.  The side that
+owns most of a heavy key's rows is spread over several salts, and the other sides'
 rows of that key are repeated once per salt.  All other keys keep salt 0.
 
 The inputs must be distinct rows: spreading hashes the whole row.
@@ -33,28 +34,63 @@ class SkewPolicy:
 
 DEFAULT_POLICY = SkewPolicy()
 
+#: Keys a sketch tracks. It surely names a key with more than about 1 in 10,000 of all rows;
+#: a smaller one is no larger than a shuffle partition of so many rows should be.
+TRACKED = 65_536
+#: The most keys a sketch of that size holds, so none that it names is left out.
+NAMED = TRACKED * 3 // 4
+#: Sketches of tasks meet in so many groups before they meet in one.
+_GROUPS = 64
+
 
 def _rows(side: str) -> str:
     return f"__rows_{side}"
 
 
+def _key_hash(keys: list[str]):
+    return F.xxhash64(*keys).alias("__key")
+
+
+def candidate_keys(sides: dict[str, DataFrame], keys: list[str], policy: SkewPolicy) -> DataFrame:
+    """Hashes of the keys that may be heavy: ``NAMED`` at most, none where nothing is.
+
+    What leaves a task is its sketch, whatever the number of keys.
+    """
+    hashes = [with_keys(df.select(*keys), keys).select(_key_hash(keys)) for df in sides.values()]
+    every = reduce(DataFrame.unionByName, hashes)
+    by_group = every.groupBy((F.spark_partition_id() % _GROUPS).alias("__group")).agg(
+        F.expr(f"approx_top_k_accumulate(__key, {TRACKED})").alias("__sketch")
+    )
+    # grouped, as this aggregate fails in tasks without rows otherwise
+    whole = by_group.groupBy(F.lit(0).alias("__all")).agg(
+        F.expr(f"approx_top_k_combine(__sketch, {TRACKED})").alias("__sketch")
+    )
+    named = whole.select(F.explode(F.expr(f"approx_top_k_estimate(__sketch, {NAMED})")).alias("__n"))
+    # estimates are never too small
+    return named.where(F.col("__n.count") >= policy.min_rows).select(F.col("__n.item").alias("__key"))
+
+
 def heavy_keys(
     sides: dict[str, DataFrame],
     keys: list[str],
     policy: SkewPolicy,
     needs: dict[str, str] | None = None,
 ) -> DataFrame:
-    """All heavy keys with their owner side and salt count.
+    """The heavy keys with their owner side and salt count, counted exactly.
 
-    There is at most one for ``min_rows`` rows.  How the table reaches the sides
-    is left to Spark, which knows its size by then.
+    There are ``NAMED`` at most, whatever the input, so the table is broadcast.
     ``needs`` names, for a side, another side without which its rows of a key
     can never be joined; it owns no key that the other side lacks.
     """
     needs = needs or {}
-    tagged = [df.select(*keys, F.lit(side).alias("__side")) for side, df in sides.items()]
+    candidates = candidate_keys(sides, keys, policy)
+    tagged = [
+        df.select(*keys, F.lit(side).alias("__side"), _key_hash(keys))
+        for side, df in sides.items()
+    ]
     per_key = (
         reduce(DataFrame.unionByName, tagged)
+        .join(F.broadcast(candidates), "__key", "left_semi")
         .groupBy(*keys)
         .agg(*[F.count_if(F.col("__side") == side).alias(_rows(side)) for side in sides])
     )
@@ -94,7 +130,7 @@ def place(
              WHEN {_OWNER} IS NOT NULL THEN sequence(0, {_SALTS} - 1)
              ELSE array(0)
         END"""
-    marked = df.join(heavy, keys, "left")
+    marked = df.join(F.broadcast(heavy), keys, "left")
     return marked.select(*columns, _OWNER, F.expr(f"explode({salts})").alias(_SALT))
 
 

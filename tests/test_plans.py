@@ -47,12 +47,45 @@ def test_chained_join_shuffles_each_input_once_for_both_joins(large):
     assert "ReusedExchange" in plan
 
 
-def test_nothing_is_broadcast_by_hint_and_no_heavy_key_is_left_out(large):
+def test_nothing_is_shuffled_on_bare_keys_when_no_key_is_heavy(large):
+    plan = final_plan(chained(large))
+    bare = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+            if re.fullmatch(r"(title_id#\d+L, id#\d+L|id#\d+L, title_id#\d+L), \d+", x)]
+    assert not bare and "__owner" in plan
+
+
+def test_only_tables_of_bounded_size_are_broadcast(large):
+    """The keys a sketch names and their exact counts; no side of a join, and no cut of either."""
     plan = plan_of(chained(large))
-    assert "Broadcast" not in plan
+    built = re.findall(r"BroadcastHashJoin \[([^\]]*)\], \[([^\]]*)\], (\w+)", plan)
+    assert built and all(
+        kind == ("LeftSemi" if "__key" in right else "LeftOuter") for _, right, kind in built
+    )
+    assert not any("__salt" in left for left, _, _ in built)
     assert "Limit" not in plan and "TakeOrdered" not in plan
 
 
+def test_a_direct_run_parses_each_target_once(spark, tmp_path, monkeypatch):
+    from quirelake.plans import runs
+    from tests import landed
+
+    landed.write(tmp_path, landed.edge_cases())
+    scanned = []
+    plain = runs.read_landing
+
+    def counted(spark, root, platform, target, *args, **options):
+        scanned.append((platform, target))
+        return plain(spark, root, platform, target, *args, **options)
+
+    monkeypatch.setattr(runs, "read_landing", counted)
+    read = runs.staged(runs.direct_source(spark, str(tmp_path), [DAY1, DAY2]), str(tmp_path))
+    tables = runs.curate_tables(read, variant=runs.DIRECT)
+    assert len(scanned) == len(set(scanned)) == 12
+    scans = {t: plan_of(f).split("== Initial Plan ==")[-1].count("FileScan json") for t, f in tables.items()}
+    # listings of the other platform and the title info come from the written stage
+    assert scans["genres"] == 0 and scans["titles"] == 3
+
+
 def test_distinct_combines_before_the_shuffle(large):
     infos = views.naver_genres(docs.naver_info_docs(large("part")))
     plan = plan_of(curation.curate_genres(infos))
