@@ -34,6 +34,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--folders", nargs="*", help="title folders of a direct run")
     parser.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
     parser.add_argument("--backup", action="store_true", help="keep a direct run's views")
+    parser.add_argument("--keep-empty", action="store_true", help="keep titles without keywords")
+    parser.add_argument("--join", choices=("chained", "star"), default="chained",
+                        help="how comments are reached")
+    parser.add_argument("--as-of", type=date.fromisoformat, help="one date for all of the history")
+    parser.add_argument("--lines", action="store_true", help="landed files hold a document per line")
+    parser.add_argument("--quarantine", action="store_true", help="write what was not taken whole")
     parser.add_argument("--show", action="store_true", help="show what a run wrote")
     parser.add_argument("--all-dates", action="store_true", help="read every date")
     return parser.parse_args(argv)
@@ -60,20 +66,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or session()
     dates = dates_of(args)
     platforms = [args.platform] if args.platform else list(PLATFORMS)
+    landed = {"multiline": not args.lines}
+    choices = {"keep_empty": args.keep_empty, "join": args.join}
+    flags = {"quarantine": args.quarantine}
     if args.command == "days":
-        runs.run_days(spark, args.root, dates, platforms, args.mode)
+        runs.run_days(
+            spark, args.root, dates, platforms, args.mode, **landed, **choices, **flags
+        )
     elif args.command == "optimize":
-        runs.optimize_days(spark, args.root, dates, platforms, mode=args.mode)
+        runs.optimize_days(spark, args.root, dates, platforms, mode=args.mode, **landed, **flags)
     elif args.command == "curate":
-        runs.curate_days(spark, args.root, dates, platforms, args.mode)
+        runs.curate_days(spark, args.root, dates, platforms, args.mode, **choices)
     elif args.command == "history":
-        runs.run_history(spark, args.root, dates, platforms, mode=args.mode)
+        runs.run_history(
+            spark, args.root, dates, platforms, args.as_of, args.mode, **landed, **choices, **flags
+        )
     elif args.command == "direct":
         if args.backup:
-            read = runs.direct_source(spark, args.root, dates, args.folders)
+            read = runs.direct_source(spark, args.root, dates, args.folders, **landed)
             runs.backup_direct(read, args.root, platforms)
         runs.run_direct(
-            spark, args.root, dates, platforms, folders=args.folders, mode=args.mode
+            spark, args.root, dates, platforms, folders=args.folders, mode=args.mode, **landed, **choices
         )
     if args.command == "read" or args.show:
         on = None if args.all_dates else dates

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from quirelake.sources.tables import (
     write_curated,
     write_history,
     write_optimized,
+    write_quarantine,
 )
 from quirelake.streaming.compaction import compact, read_merged
 from quirelake.streaming.ledger import cover, finished_batches, uncovered
@@ -94,20 +96,29 @@ def optimize_days(
     mode: str = "overwrite",
     max_files: int | None = None,
     multiline: bool = True,
+    quarantine: bool = False,
 ) -> None:
     """Compact the landed documents of all given dates.
 
     One job per target covers every date; the landing date is a column.
-    ``multiline=False`` takes files of one document per line.
+    ``multiline=False`` takes files of one document per line. ``quarantine`` also writes
+    which documents were not taken whole (R10); for that the parsed documents of a target
+    are kept on the executors' disks, so each is parsed once.
     """
     dates = list(dates)
     for platform in platforms:
         for target in variant.targets(platform):
             docs = read_landing(
-                spark, root, platform, target, dates, multiline=multiline
+                spark, root, platform, target, dates, multiline=multiline, report=quarantine
             )
-            shaped = compact_shape(docs, platform, target, variant.all_weekdays)
+            flags = [c for c in ("odd_items", "unreadable") if c in docs.columns]
+            if quarantine:
+                docs = docs.persist(StorageLevel.DISK_ONLY)
+            shaped = compact_shape(docs.drop(*flags), platform, target, variant.all_weekdays)
             write_optimized(shaped, root, platform, target, mode, max_files, dates)
+            if quarantine:
+                write_quarantine(docs, root, platform, target, dates)
+                docs.unpersist()
 
 
 def compact_history(
@@ -118,12 +129,14 @@ def compact_history(
     files_per_batch: int = 100_000,
     max_files: int | None = None,
     multiline: bool = True,
+    quarantine: bool = False,
 ) -> None:
     """Resume the compaction of all targets, then shape what is new.
 
     Targets are compacted side by side; one that fails stops none of the others, and is
     raised in the end. Only landing dates with batches that were not shaped yet are read and
-    written again, also those that an interrupted run left.
+    written again, also those that an interrupted run left. ``quarantine`` also writes which
+    documents of these dates were not taken whole (R10); the compaction has flagged them.
     """
     dates = None if dates is None else list(dates)
     todo = [(p, t) for p in platforms for t in HISTORY.targets(p)]
@@ -142,6 +155,9 @@ def compact_history(
                 docs = read_merged(spark, root, platform, target, dirty)
                 shaped = compact_shape(docs, platform, target, all_weekdays=True)
                 write_history(shaped, root, platform, target, max_files=max_files, dates=dirty)
+                if quarantine:
+                    flagged = read_merged(spark, root, platform, target, dirty, report=True)
+                    write_quarantine(flagged, root, platform, target, dirty)
         cover(new, spark, root, "shaped", platform)
 
 
@@ -273,10 +289,11 @@ def run_days(
     multiline: bool = True,
     keep_empty: bool = False,
     join: str = "chained",
+    quarantine: bool = False,
 ) -> None:
     """O1, O2: landed documents of one or many dates to curated tables."""
     dates, platforms = list(dates), list(platforms)
-    optimize_days(spark, root, dates, platforms, mode=mode, multiline=multiline)
+    optimize_days(spark, root, dates, platforms, DAILY, mode, None, multiline, quarantine)
     curate_days(spark, root, dates, platforms, mode, keep_empty, policy, join)
 
 
@@ -335,10 +352,11 @@ def run_history(
     multiline: bool = True,
     keep_empty: bool = False,
     join: str = "chained",
+    quarantine: bool = False,
 ) -> None:
     """O3: resumable backfill of ongoing and finished titles."""
     platforms = list(platforms)
-    compact_history(spark, root, dates, platforms, multiline=multiline)
+    compact_history(spark, root, dates, platforms, multiline=multiline, quarantine=quarantine)
     curate_history(spark, root, platforms, as_of, mode, policy, keep_empty, join)
 
 

@@ -77,6 +77,8 @@ LANDING = {
 LISTED = {
     (NAVER, "titles"): "titleListMap map<string, array<variant>>",
     (NAVER, "finished_titles"): "titleList array<variant>, pageInfo struct<totalPages: bigint>",
+    (KAKAO, "titles"): "data array<variant>",
+    (KAKAO, "finished_titles"): "data array<variant>",
 }
 LISTED_FIELDS = {
     "titleId": "bigint",
@@ -85,8 +87,12 @@ LISTED_FIELDS = {
     "viewCount": "bigint",
     "thumbnailUrl": "string",
 }
+LISTED_SECTIONS = f"array<{_KAKAO_SECTION}>"
 CORRUPT_COLUMN = "_corrupt_record"
 
+# Landed documents that a run could not take as a whole: where, and what is wrong.
+QUARANTINE = "filename string, problem string, year int, month int, day int, platform string, target string"
+
 _PROVENANCE = ", filename string"
 _PARTITIONS = ", year int, month int, day int, platform string"
 

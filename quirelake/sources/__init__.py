@@ -13,10 +13,12 @@ from quirelake.sources.tables import (
     read_curated,
     read_history,
     read_optimized,
+    read_quarantine,
     register_views,
     write_curated,
     write_history,
     write_optimized,
+    write_quarantine,
 )
 
 __all__ = [
@@ -30,8 +32,10 @@ __all__ = [
     "read_history",
     "read_landing",
     "read_optimized",
+    "read_quarantine",
     "register_views",
     "write_curated",
     "write_history",
     "write_optimized",
+    "write_quarantine",
 ]

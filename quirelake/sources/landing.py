@@ -15,6 +15,7 @@ from quirelake.schemas import (
     LANDING,
     LISTED,
     LISTED_FIELDS,
+    LISTED_SECTIONS,
     OPAQUE,
     VARIANT_COLUMN,
 )
@@ -84,9 +85,63 @@ def _has_odd(items: Column) -> Column:
     return F.coalesce(F.exists(items, lambda item: ~_is_object(item)), F.lit(False))
 
 
+def _items(parent: Column, name: str) -> Column:
+    """The list under a name; NULL where there is none."""
+    return F.try_variant_get(parent, f"$.{name}", "array<variant>")
+
+
+def _walked(items: Column, build) -> Column:
+    """``build`` of each item that is an object, at one level of nested lists."""
+    return F.transform(F.filter(items, _is_object), build)
+
+
+def _content_odd(card: Column) -> Column:
+    content = F.try_variant_get(card, "$.content", "variant")
+    missing = content.isNull() | F.is_variant_null(content)
+    return F.coalesce(~missing & ~_is_object(content), F.lit(False))
+
+
+def _sections(items: Column) -> Column:
+    """Sections of card groups of cards, whatever is no object at its level left out."""
+
+    def text(parent, name, kind="string"):
+        return F.try_variant_get(parent, f"$.{name}", kind).alias(name)
+
+    def card(c: Column) -> Column:
+        content = F.try_variant_get(c, "$.content", "variant")
+        authors = _walked(_items(content, "authors"), lambda a: F.struct(text(a, "name")))
+        words = F.transform(_items(content, "seoKeywords"), lambda w: F.try_variant_get(w, "$", "string"))
+        fields = F.struct(
+            text(content, "id", "bigint"), text(content, "title"), authors.alias("authors"),
+            text(content, "featuredCharacterImageA"), words.alias("seoKeywords"),
+        )
+        return F.struct(F.when(_is_object(content), fields).alias("content"))
+
+    def group(g: Column) -> Column:
+        cards = F.filter(_items(g, "cards"), lambda c: ~_content_odd(c))
+        return F.struct(_walked(cards, card).alias("cards"))
+
+    def section(s: Column) -> Column:
+        groups = _walked(_items(s, "cardGroups"), group)
+        return F.struct(text(s, "title"), groups.alias("cardGroups"))
+
+    return _walked(items, section).cast(LISTED_SECTIONS)
+
+
+def _sections_odd(items: Column) -> Column:
+    """Whether something at any level of the sections is no object."""
+
+    def below(items: Column, test) -> Column:
+        inside = F.exists(F.filter(items, _is_object), test)
+        return _has_odd(items) | F.coalesce(inside, F.lit(False))
+
+    return below(items, lambda s: below(_items(s, "cardGroups"), lambda g: below(
+        _items(g, "cards"), _content_odd)))
+
+
 def by_item(docs: DataFrame, itemwise: bool, report: bool = False) -> DataFrame:
     """Listings read item by item: an item that is no object goes, the others stay; a field
-    of another kind than expected is NULL.
+    of another kind than expected is NULL. Nested lists are read so at each of their levels.
 
     ``report`` adds ``odd_items``, documents that hold such an item or a field that does
     not parse, and ``unreadable``, those of which nothing parses.
@@ -98,6 +153,9 @@ def by_item(docs: DataFrame, itemwise: bool, report: bool = False) -> DataFrame:
     if itemwise and "titleList" in docs.columns:
         odd = _has_odd(F.col("titleList"))
         listed["titleList"] = _listed(F.col("titleList"))
+    if itemwise and "data" in docs.columns:
+        odd = _sections_odd(F.col("data"))
+        listed["data"] = _sections(F.col("data"))
     if report:
         fields = [c for c in docs.columns if c not in (CORRUPT_COLUMN, "filename", "landing_date")]
         nothing = reduce(and_, [F.col(c).isNull() for c in fields])

@@ -5,6 +5,7 @@
     historical/optimized/{target}/platform=/landing_date=        compacted history
     optimized/{target}/year=/month=/day=/platform=        compacted days
     processed/{table}/year=/month=/day=/platform=         curated tables
+    quarantine/year=/month=/day=/platform=/target=        documents a run could not take whole
     temp/{platform}/{target}                              backups, staged targets
     checkpoints/{platform}/...                            ledgers of compaction and later stages
 """
@@ -85,5 +86,9 @@ def curated_root(root: str, table: str) -> str:
     return f"{root}/processed/{table}"
 
 
+def quarantine_root(root: str) -> str:
+    return f"{root}/quarantine"
+
+
 def backup_path(root: str, platform: str, target: str) -> str:
     return f"{root}/temp/{platform}/{target}"

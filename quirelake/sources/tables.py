@@ -16,6 +16,7 @@ from quirelake.sources.layout import (
     day_partition,
     history_root,
     optimized_root,
+    quarantine_root,
 )
 
 
@@ -273,6 +274,36 @@ def write_curated(
     _save(rows, path, list(PARTITION_COLUMNS), mode, max_files, _parts(scope))
 
 
+def write_quarantine(
+    flagged: DataFrame, root: str, platform: str, target: str, dates: Iterable[date]
+) -> None:
+    """The flagged documents of one target, replacing those of the given dates.
+
+    ``flagged`` has filename, landing_date and the flags ``odd_items`` and ``unreadable``.
+    """
+    dates = list(dates)
+    problem = F.expr("CASE WHEN unreadable THEN 'unreadable' WHEN odd_items THEN 'odd_items' END")
+    rows = flagged.select("filename", problem.alias("problem"), "landing_date").where(
+        "problem IS NOT NULL"
+    )
+    rows = rows.withColumns({"platform": F.lit(platform), "target": F.lit(target)})
+    scope = [(day, platform) for day in dates]
+    parts = [f"{part}/target={target}" for part in _parts(scope)]
+    by = [*PARTITION_COLUMNS, "target"]
+    _save(partitioned(in_scope(rows, scope)), quarantine_root(root), by, "overwrite", None, parts)
+
+
+def read_quarantine(
+    spark: SparkSession,
+    root: str,
+    dates: Iterable[date] | None = None,
+    platforms: Iterable[str] | None = None,
+) -> DataFrame:
+    """Documents that runs could not take as a whole, by date, platform and target."""
+    platforms = None if platforms is None else list(platforms)
+    return _scoped(spark, quarantine_root(root), schemas.QUARANTINE, dates, platforms)
+
+
 def backup(
     df: DataFrame,
     root: str,

@@ -106,7 +106,8 @@ def _compact_round(
     # a path is read as a pattern
     paths = files.select(F.regexp_replace("path", r"([{}\[\]*?\\])", r"\\$1")).collect()
     paths = [r[0] for r in paths]
-    docs = at_depth(read_files(spark, paths, platform, target, schema, multiline), target)
+    docs = read_files(spark, paths, platform, target, schema, multiline, report=True)
+    docs = at_depth(docs, target)
     # the round's own file names: bounded by files_per_batch
     docs = docs.join(F.broadcast(files.select("filename", "batch")), "filename")
     if output_files is not None:
@@ -167,17 +168,20 @@ def read_merged(
     platform: str,
     target: str,
     dates: Iterable[date] | None = None,
+    report: bool = False,
 ) -> DataFrame:
     """The compacted documents of a target, of all or the given landing dates.
 
-    A batch that is written but not yet in the ledger is not seen.
+    A batch that is written but not yet in the ledger is not seen. ``report`` adds the flags
+    ``odd_items`` and ``unreadable``, which were written in the same pass.
     """
     dates = None if dates is None else list(dates)
     finished = read_ledger(spark, root, platform, target, dates).select(*_BY).distinct()
     ddl = f"{LANDING[platform, target]}, filename string, landing_date date, batch int"
+    ddl += ", odd_items boolean, unreadable boolean"
     docs = read_or_empty(spark, merged_path(root, platform, target), date_glob(dates), ddl)
     seen = docs.join(F.broadcast(finished), _BY, "left_semi")  # one row per batch
-    return seen.select(*no_documents(spark, platform, target).columns)
+    return seen.select(*no_documents(spark, platform, target, report).columns)
 
 
 __all__ = ["MERGED_FILES_PER_BATCH", "compact", "read_merged"]

@@ -8,7 +8,7 @@ import pytest
 
 from quirelake.operators.skew import SkewPolicy
 from quirelake.plans import runs
-from quirelake.sources import read_curated
+from quirelake.sources import read_curated, read_quarantine
 from tests import brute, landed
 from tests.conftest import in_order, rows
 from tests.landed import DAY1, DAY2
@@ -110,6 +110,46 @@ def test_history_goes_on_after_a_failure_between_its_stages(spark, tmp_path, mon
     assert_curated(spark, root, docs, BOTH, runs.HISTORY)
 
 
+def odd_listing():
+    """A section list with something odd at every level, and the same without it."""
+    card = lambda i: {"content": {"id": i, "title": f"k{i}", "authors": [{"name": "A"}],
+                                  "featuredCharacterImageA": "/x", "seoKeywords": ["#a"]}}
+    good = {"data": [{"title": "월", "cardGroups": [{"cards": [card(1), card(2)]}]}]}
+    odd_card = card(2)
+    odd_card["content"]["authors"] = ["B", {"name": "A"}, 5]
+    odd = {"data": ["oops", {"title": "월", "cardGroups": [
+        None, 7, {"cards": [card(1), 3, {"content": "text"}, odd_card, ["x"]]}, {"cards": "none"},
+    ]}, {"title": "화", "cardGroups": {"a": 1}}, {"title": 3}]}
+    return good, odd
+
+
+@pytest.mark.parametrize("run", [runs.run_days, runs.run_history])
+def test_odd_items_at_every_level_cost_only_themselves(spark, tmp_path, run):
+    good, odd = odd_listing()
+    names = {DAY1: "titles_월", DAY2: "titles_화"}
+    for place, doc in (("good", good), ("odd", odd)):
+        docs = {("kakao", "titles", day): {name: doc} for day, name in names.items()}
+        lake(tmp_path / place, docs)
+    cut = tmp_path / "odd/raw/kakao/titles/2025/02/27/titles_cut.json"
+    cut.write_text('{"data": [{"title": "월", "card')
+    options = {} if run is runs.run_history else {"dates": BOTH}
+    for place in ("good", "odd"):
+        run(spark, str(tmp_path / place), platforms=["kakao"], quarantine=True, **options)
+    found = [{t: rows(f) for t, f in runs.read_scope(spark, str(tmp_path / p)).items()}
+             for p in ("good", "odd")]
+    assert found[0] == found[1] and len(found[0]["titles"]) == 4
+    assert read_quarantine(spark, str(tmp_path / "good")).count() == 0
+    held = read_quarantine(spark, str(tmp_path / "odd"), [DAY1], ["kakao"])
+    assert rows(held, "target", "problem") == [("titles", "odd_items"), ("titles", "unreadable")]
+    assert read_quarantine(spark, str(tmp_path / "odd")).count() == 3
+    # mended documents leave the quarantine again
+    if run is runs.run_days:
+        cut.unlink()
+        lake(tmp_path / "odd", {("kakao", "titles", DAY1): {names[DAY1]: good}})
+        run(spark, str(tmp_path / "odd"), dates=[DAY1], platforms=["kakao"], quarantine=True)
+        assert rows(read_quarantine(spark, str(tmp_path / "odd")), "day") == [(28,)]
+
+
 def test_choices_reach_the_runs(spark, tmp_path):
     root = lake(tmp_path, landed.edge_cases())
     found = {}
