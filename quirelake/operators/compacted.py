@@ -105,6 +105,13 @@ _SHAPES = {
 }
 
 
+def passes_through(platform: str, target: str) -> bool:
+    """Whether a document is one row of the compacted shape."""
+    return (platform, target) != (NAVER, "titles") and _SHAPES.get(
+        (platform, target), unchanged
+    ) in (unchanged, with_path_keys)
+
+
 def compact_shape(
     docs: DataFrame, platform: str, target: str, all_weekdays: bool
 ) -> DataFrame:

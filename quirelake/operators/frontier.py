@@ -12,6 +12,11 @@ from quirelake.functions import fill_template, first_item
 from quirelake.operators.compacted import titles_of_all_weekdays, titles_of_weekday
 
 
+def of_platform(ids: DataFrame, platform: str) -> DataFrame:
+    """Ids with the platform that gave them; equal numbers of two platforms are two titles."""
+    return ids.withColumn("platform", F.lit(platform))
+
+
 def naver_title_ids(docs: DataFrame, weekday: Column | None = None) -> DataFrame:
     """Listed title ids, of all weekdays or of one."""
     listed = (
@@ -89,10 +94,17 @@ def latest_episodes(episodes: DataFrame, rows: int) -> DataFrame:
     """The newest episodes per title, by number.
 
     Titles are told apart by platform, and landings by date, where the columns are
-    there; an episode that landed twice counts once.
+    there; an episode that landed twice counts once: of its copies the one from the last
+    file counts, or else the greatest row, so that a task run again picks the same.
     """
     by = [c for c in ("platform", "landing_date", "title_id") if c in episodes.columns]
-    return top_rows(episodes.dropDuplicates([*by, "id"]), by, [F.desc("id")], rows)
+    others = sorted((c for c in episodes.columns if c not in (*by, "id")), key=lambda c: c != "filename")
+    if others:
+        last = F.max(F.struct(*others)).alias("__last")
+        once = episodes.groupBy(*by, "id").agg(last).select(*by, "id", "__last.*")
+    else:
+        once = episodes.distinct()
+    return top_rows(once.select(*episodes.columns), by, [F.desc("id")], rows)
 
 
 def kakao_listed_episodes(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from quirelake.plans import (  # noqa: F401
     column_queries,
     curation_queries,
     frontier_queries,
+    rerun_queries,
     storage_queries,
     view_queries,
 )

@@ -3,7 +3,13 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.conventions import KAKAO_LATEST_EPISODES, NAVER_LATEST_EPISODES, TOP_COMMENTS
+from quirelake.conventions import (
+    KAKAO,
+    KAKAO_LATEST_EPISODES,
+    NAVER,
+    NAVER_LATEST_EPISODES,
+    TOP_COMMENTS,
+)
 from quirelake.operators import compacted, frontier, views
 from quirelake.plans import star_docs as docs
 from quirelake.plans.registry import query
@@ -215,3 +221,24 @@ def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count("*").alias("episodes"))
     )
     return frontier.uncovered(frontier.naver_title_ids(lists), counts)
+
+
+@query("""
+    SELECT 'naver' AS platform, p_partkey AS title_id FROM part
+    UNION ALL
+    SELECT 'kakao', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+""")
+def coverage_by_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal title numbers of two platforms do not hide each other."""
+    lists = docs.naver_title_docs(table(spark, sf_dir, "part"))
+    pages = docs.kakao_title_docs(table(spark, sf_dir, "customer"))
+    titles = frontier.of_platform(frontier.naver_title_ids(lists), NAVER).unionByName(
+        frontier.of_platform(frontier.kakao_title_ids(pages), KAKAO)
+    )
+    counts = frontier.of_platform(
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_custkey").alias("title_id"))
+        .agg(F.count("*").alias("episodes")),
+        KAKAO,
+    )
+    return frontier.uncovered(titles, counts)

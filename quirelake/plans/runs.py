@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from quirelake.conventions import KAKAO, NAVER, PLATFORMS, TARGETS
 from quirelake.operators import curation, views
-from quirelake.operators.compacted import compact_shape
+from quirelake.operators.compacted import compact_shape, passes_through
 from quirelake.operators.skew import DEFAULT_POLICY, SkewPolicy
-from quirelake.sources.landing import of_titles, read_landing
+from quirelake.sources.landing import of_titles, read_landing, read_packed
 from quirelake.sources.layout import staged_path
 from quirelake.sources.tables import (
     Pair,
@@ -108,14 +108,16 @@ def optimize_days(
     dates = list(dates)
     for platform in platforms:
         for target in variant.targets(platform):
-            docs = read_landing(
+            packed = max_files is None and passes_through(platform, target)
+            read = read_packed if packed else read_landing
+            docs = read(
                 spark, root, platform, target, dates, multiline=multiline, report=quarantine
             )
             flags = [c for c in ("odd_items", "unreadable") if c in docs.columns]
             if quarantine:
                 docs = docs.persist(StorageLevel.DISK_ONLY)
             shaped = compact_shape(docs.drop(*flags), platform, target, variant.all_weekdays)
-            write_optimized(shaped, root, platform, target, mode, max_files, dates)
+            write_optimized(shaped, root, platform, target, mode, max_files, dates, packed)
             if quarantine:
                 write_quarantine(docs, root, platform, target, dates)
                 docs.unpersist()

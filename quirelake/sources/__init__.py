@@ -6,6 +6,7 @@ from quirelake.sources.landing import (
     of_titles,
     read_files,
     read_landing,
+    read_packed,
 )
 from quirelake.sources.tables import (
     backup,
@@ -32,6 +33,7 @@ __all__ = [
     "read_history",
     "read_landing",
     "read_optimized",
+    "read_packed",
     "read_quarantine",
     "register_views",
     "write_curated",

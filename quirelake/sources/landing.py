@@ -222,6 +222,37 @@ def read_landing(
         return no_documents(spark, platform, target, report)
 
 
+#: Bytes of landed files that go into one file of the compacted layer.
+PACKED_BYTES = 256 << 20
+
+
+def read_packed(
+    spark: SparkSession,
+    root: str,
+    platform: str,
+    target: str,
+    dates: Iterable[date],
+    multiline: bool = True,
+    report: bool = False,
+) -> DataFrame:
+    """K1: documents of some dates, each task's rows of one date and about ``PACKED_BYTES``.
+
+    The listing alone says how many tasks a date needs; scan splits are joined to so many
+    without a shuffle, so what each task writes is one file of a fitting size.
+    """
+    dates = list(dates)
+    sizes = inventory(spark, root, platform, target, dates).groupBy("landing_date").agg(
+        F.ceil(F.sum("length") / PACKED_BYTES)
+    )
+    tasks = dict(sizes.collect())  # one row per date
+    frames = [
+        read_landing(spark, root, platform, target, [day], multiline=multiline, report=report)
+        .coalesce(max(1, tasks[day]))
+        for day in dates if day in tasks
+    ]
+    return reduce(DataFrame.unionByName, frames, no_documents(spark, platform, target, report).coalesce(1))
+
+
 def of_titles(docs: DataFrame, titles: DataFrame) -> DataFrame:
     """Documents in the folders of the titles in ``titles.title_id``.
 

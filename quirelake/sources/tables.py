@@ -174,6 +174,7 @@ def _save(
     mode: str,
     max_files: int | None,
     parts: Iterable[str] | None = None,
+    packed: bool = False,
 ) -> None:
     """``overwrite`` replaces exactly the partitions written; ``append`` adds.
 
@@ -186,7 +187,7 @@ def _save(
     parts = sorted(set(parts or ())) if mode == "overwrite" else []
     old = _listed(spark, path, parts).groupBy("part").agg(F.min("path").alias("path")) if parts else None
     old = [] if old is None else old.collect()  # one row per partition
-    writer = in_files(df, by, max_files).write.mode(mode).partitionBy(*by)
+    writer = (df if packed else in_files(df, by, max_files)).write.mode(mode).partitionBy(*by)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     if not old:
         return
@@ -224,15 +225,17 @@ def write_optimized(
     mode: str = "overwrite",
     max_files: int | None = None,
     dates: Iterable[date] | None = None,
+    packed: bool = False,
 ) -> None:
     """K1: a compacted target of one platform, for every landing date it holds.
 
-    With ``dates`` exactly these dates are replaced, also by nothing.
+    With ``dates`` exactly these dates are replaced, also by nothing. ``packed`` rows lie in
+    tasks as they shall lie in files, and are written without a shuffle.
     """
     scope = None if dates is None else [(day, platform) for day in dates]
     rows = partitioned(in_scope(df.withColumn("platform", F.lit(platform)), scope))
     path = optimized_root(root, target)
-    _save(rows, path, list(PARTITION_COLUMNS), mode, max_files, _parts(scope))
+    _save(rows, path, list(PARTITION_COLUMNS), mode, max_files, _parts(scope), packed)
 
 
 def write_history(

@@ -52,6 +52,22 @@ def test_latest_episodes(spark):
     ]
 
 
+def test_of_copies_the_last_file_counts(spark):
+    data = [(1, 7, "b", "x/2.json"), (1, 7, "z", "x/1.json"), (1, 6, "q", "x/1.json")]
+    df = spark.createDataFrame(data, "title_id int, id int, title string, filename string")
+    for frame in (df, df.orderBy("filename").repartition(3)):
+        assert rows(frontier.latest_episodes(frame, 1), "id", "title") == [(7, "b")]
+
+
+def test_platforms_do_not_hide_each_other(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "title_id int")
+    titles = frontier.of_platform(ids, "naver").unionByName(frontier.of_platform(ids, "kakao"))
+    counts = spark.createDataFrame([(1, 4, "naver")], "title_id int, episodes bigint, platform string")
+    assert rows(frontier.uncovered(titles, counts), "title_id", "platform") == [
+        (1, "kakao"), (2, "kakao"), (2, "naver"),
+    ]
+
+
 def test_free_only(spark, docs):
     from quirelake.operators.compacted import listed_episodes
 

@@ -5,8 +5,10 @@ import re
 import pytest
 
 from quirelake.operators import compacted, curation, frontier, views
+from quirelake.plans import runs
 from quirelake.plans import star_docs as docs
 from quirelake.sources import read_curated, write_curated
+from tests import landed
 from tests.landed import DAY1, DAY2
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -65,10 +67,23 @@ def test_only_tables_of_bounded_size_are_broadcast(large):
     assert "Limit" not in plan and "TakeOrdered" not in plan
 
 
-def test_a_direct_run_parses_each_target_once(spark, tmp_path, monkeypatch):
-    from quirelake.plans import runs
-    from tests import landed
+def test_documents_that_pass_through_are_packed_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from quirelake.sources import landing
+
+    names = {f"{i // 10}/{i}": {"data": {"episodeId": i, "likeCount": i}} for i in range(40)}
+    for day in (DAY1, DAY2):
+        landed.write(tmp_path, {("kakao", "episode_likes", day): names})
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.json")) // 2
+    monkeypatch.setattr(landing, "PACKED_BYTES", size // 2 + 1)
+    read = landing.read_packed(spark, str(tmp_path), "kakao", "episode_likes", [DAY1, DAY2])
+    assert "Exchange" not in plan_of(read) and read.count() == 80
+    runs.optimize_days(spark, str(tmp_path), [DAY1, DAY2], ["kakao"])
+    for day in ("27", "28"):
+        files = list(tmp_path.glob(f"optimized/episode_likes/year=2025/month=02/day={day}/*/*.parquet"))
+        assert 1 <= len(files) <= 2
 
+
+def test_a_direct_run_parses_each_target_once(spark, tmp_path, monkeypatch):
     landed.write(tmp_path, landed.edge_cases())
     scanned = []
     plain = runs.read_landing
