@@ -12,10 +12,9 @@ import codecs
 import hashlib
 import json
 import re
-import sys
-import types
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -23,21 +22,21 @@ from pyspark.sql import functions as F
 
 #: Characters of a text that are read at once, up to the next blank.
 RUN_CHARS = 1 << 16
-#: Distinct pieces whose tokens a task keeps, ...
-KEPT_PIECES = 600_000
-#: ... none of them longer than this; longer ones are streamed each time.
+#: Distinct pieces whose tokens a worker keeps, ...
+KEPT_PIECES = 300_000
+#: ... none of them longer than this; longer ones are streamed each time. With their ids that
+#: is 200 MB at the very most, and a quarter of it in ordinary text.
 KEPT_CHARS = 64
-#: Pieces up to so many units are encoded at one go.
-WHOLE_UNITS = 64
 #: Units after which a stream looks for tokens that have become final.
 EMIT_EVERY = 256
 #: Pairs of tokens for which the encoder remembers whether they can stand side by side.
-KEPT_PAIRS = 2_000_000
-#: Prefixes of pieces whose last token it remembers.
-KEPT_PREFIXES = 400_000
+KEPT_PAIRS = 500_000
+#: Token ids that are handed on at a time.
+BATCH_IDS = 1 << 18
 
 _NEVER = 1 << 60
 _SPACE = "\t-\r \x85\xa0  -     　"
+_BLANK = re.compile(f"[{_SPACE}]")
 
 # The split pattern of CLIP-like files, and the same for texts of ASCII and Latin letters only.
 _PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -82,7 +81,6 @@ class Vocabulary:
             halves.setdefault(whole, (self.ids[a], self.ids[b]))
         self._spines(halves)
         self._apart: dict[int, bool] = {}
-        self._prefixes: dict[str, tuple[int, int]] = {}
         usable = {i for t, i in self.ids.items() if i not in halves} | {
             i for i, (a, b) in halves.items() if self._free(a, b, self.joins[a, b])
         }
@@ -139,39 +137,6 @@ class Vocabulary:
             known = self._apart[key] = self._free(a, b, _NEVER)
         return known
 
-    def _settle(self, units: str, known: dict[str, int]) -> tuple[int, int]:
-        """The last token and where it begins; what Stream finds for this prefix."""
-        end, prefixes, remembered = len(units), self._prefixes, self._apart
-        for begin in range(max(0, end - self.reach.get(units[-2:], end)), end):
-            new = known.get(units[begin:])
-            if new is None:
-                continue
-            if begin:
-                prefix = units[:begin]
-                before = prefixes.get(prefix)
-                if before is None:
-                    before = self._settle(prefix, self.inner)
-                    if len(prefixes) >= KEPT_PREFIXES:
-                        prefixes.clear()
-                    prefixes[prefix] = before
-                free = remembered.get(before[0] << 24 | new)
-                if free is None:
-                    free = self.apart(before[0], new)
-                if not free:
-                    continue
-            return new, begin
-        raise ValueError("the vocabulary lacks a unit")
-
-    def whole(self, units: str) -> list[int]:
-        """Tokens of a short piece. Prefixes, which many pieces share, are settled once."""
-        token, at = self._settle(units, self.last)
-        out = [token]
-        while at:
-            prefix = units[:at]
-            token, at = self._prefixes.get(prefix) or self._settle(prefix, self.inner)
-            out.append(token)
-        return out[::-1]
-
     def split(self, text: str) -> list[str]:
         if self.plain and _PLAIN.fullmatch(text):
             return self.plain.findall(text)
@@ -195,7 +160,8 @@ class Stream:
 
     def _choose(self, end: int, known: dict[str, int]) -> tuple[int, int]:
         text, token, apart = self.text, self.token, self.v.apart
-        for begin in range(max(0, end - self.v.lookahead), end):
+        reach = self.v.reach.get(text[max(0, end - 2) : end], 1)
+        for begin in range(max(0, end - reach), end):
             new = known.get(text[begin:end])
             if new is not None and (token[begin] < 0 or apart(token[begin], new)):
                 return begin, new
@@ -330,17 +296,15 @@ class Encoder:
     def piece(self, piece: str) -> list[int]:
         if piece in self.v.special:
             return [self.v.special[piece]]
-        units = self.v.units_of(piece)
-        if len(units) <= WHOLE_UNITS:
-            return self.v.whole(units)
         stream = Stream(self.v)
-        return stream.push(units) + stream.finish()
+        return stream.push(self.v.units_of(piece)) + stream.finish()
 
     def runs(self, text: str):
         """Lists of pieces in text order, a bounded run of text at a time; a special token
         is a piece of its own.
 
-        Special tokens are found in the text as it is, before anything else. Single letters
+        Runs end before a blank as the file knows blanks, which no piece holds. Special
+        tokens are found in the text as it is, before anything else. Single letters
         are lowered one by one: there is no final form at the end of a word.
         """
         at = 0
@@ -348,9 +312,8 @@ class Encoder:
             found = self.v.specials.search(text, at)
             upto = found.start() if found else len(text)
             while at < upto:
-                cut = min(upto, at + RUN_CHARS)
-                while cut < upto and not text[cut].isspace():
-                    cut += 1
+                blank = _BLANK.search(text, at + RUN_CHARS, upto)
+                cut = blank.start() if blank else upto
                 run = unicodedata.normalize("NFC", text[at:cut]).replace("Σ", "σ").lower()
                 yield self.v.split(run)
                 at = cut
@@ -365,17 +328,27 @@ class Encoder:
                 ids = list(map(self.kept.__getitem__, pieces))
                 yield " ".join(ids), " ".join(map(self.decoded.__getitem__, ids))
 
+    def ids(self, text: str):
+        """Arrays of token ids run by run."""
+        for pieces in self.runs(text):
+            if pieces:
+                joined = " ".join(map(self.kept.__getitem__, pieces))
+                yield np.fromstring(joined, np.int32, sep=" ")
+
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _ in self.texts(text) for i in ids.split()]
+        return [int(i) for ids in self.ids(text) for i in ids]
+
+
+#: One encoder per worker process and file, see ``held_encoder``.
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def held_encoder(path: str) -> Encoder:
-    """One encoder per worker process and file: a worker that Spark uses again for another
-    task still knows the pieces it has met."""
-    held = sys.modules.setdefault("quirelake_held_encoders", types.ModuleType("held"))
-    if path not in vars(held):
-        vars(held)[path] = Encoder(path)
-    return vars(held)[path]
+    """A worker that Spark uses again for another task still knows the pieces it has met,
+    where this module is installed; where it travels by value, each task has its own."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _digests(path: str):
@@ -407,7 +380,8 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_tokens and digests of both directions.
 
     ``path`` is a vocabulary file that every executor can read. ids_sha256 is of the
-    decimal ids joined by one blank, decoded_sha256 of the text decoded from them. A NULL
+    decimal ids joined by one blank, decoded_sha256 of the text decoded from them. Texts
+    of any length are read in runs. A NULL
     text is an empty one, with no tokens. Rows that repeat are encoded like all others,
     other columns are ignored, and no row gives no result.
     """
@@ -417,23 +391,41 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+def _lists(batch: pa.RecordBatch, begin: int, end: int, parts: list, sizes: list) -> pa.RecordBatch:
+    values = pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    rows = batch.column("row").slice(begin, end - begin)
+    return pa.RecordBatch.from_arrays([rows, pa.ListArray.from_arrays(offsets, values)], ["row", "ids"])
+
+
 def _id_lists(path: str):
     def encode(batches):
         encoder = held_encoder(path)
         for batch in batches:
-            lists = [encoder.encode(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(lists, pa.list_(pa.int32()))], ["row", "ids"]
-            )
+            texts = batch.column("row").field("text").cast(pa.string())
+            begin, parts, sizes, held = 0, [], [], 0
+            for row in range(batch.num_rows):
+                ids = list(encoder.ids(texts[row].as_py() or ""))
+                parts += ids
+                sizes.append(sum(map(len, ids)))
+                held += sizes[-1]
+                if held >= BATCH_IDS:
+                    yield _lists(batch, begin, row + 1, parts, sizes)
+                    begin, parts, sizes, held = row + 1, [], [], 0
+            if sizes:
+                yield _lists(batch, begin, batch.num_rows, parts, sizes)
 
     return encode
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with its token ids in ``ids``; a NULL text has none."""
-    body = docs.select(
-        F.col("text").cast("string").alias("text"),
-        F.struct(*[c for c in docs.columns if c != "ids"]).alias("row"),
-    )
+    """``docs`` with its token ids in ``ids``; a NULL text has none.
+
+    All columns but an earlier ``ids`` stay. Rows that repeat are encoded like all others,
+    long texts run by run, and no row gives no result. A task holds one batch of rows and the
+    ids of about ``BATCH_IDS`` tokens or one text.
+    """
+    kept = docs.withColumn("text", F.col("text").cast("string"))
+    body = kept.select(F.struct(*[c for c in docs.columns if c != "ids"]).alias("row"))
     schema = f"row {body.schema['row'].dataType.simpleString()}, ids array<int>"
     return body.mapInArrow(_id_lists(path), schema).select("row.*", "ids")

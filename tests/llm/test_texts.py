@@ -267,6 +267,33 @@ def test_bpe_equals_the_library(spark):
         assert decoded == library.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_of_long_texts(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    size = bpe.RUN_CHARS // 4
+    # U+001C to U+001F are no blanks of the file, whatever Python calls them
+    texts = ["b c " * size + tail for tail in ("!!\x1c!! x", "!\x1d\x1e?\x1f ab", "\x85!\xa0?")]
+    texts += ["a" * (4 * size - 1) + "\x1c" + "!" * 50, "thein" * 200_000, "=" * (5 * size), "\x1f" * 70]
+    docs = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    got = bpe.encoded(docs.repartition(3), path)
+    assert got.columns == ["doc_id", "text", "ids"]
+    for r in got.collect():
+        want = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.ids == want, r.doc_id
+
+
+def test_bpe_on_odd_tables(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows_ = [(1, "a b", "z"), (1, "a b", "z"), (None, None, None), (2, "", "z")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, row string")
+    got = sorted(((r.doc_id or 0), r.row, tuple(r.ids)) for r in bpe.encoded(docs, path).collect() if r.row)
+    assert [g[:2] for g in got] == [(1, "z"), (1, "z"), (2, "z")] and got[0] == got[1]
+    assert got[0][2] and not got[2][2]
+    assert bpe.encoded(docs.limit(0), path).count() == 0
+    assert bpe.round_trips(docs.limit(0), path).count() == 0
+    assert bpe.round_trips(docs, path).where("n_tokens = 0").count() == 2
+
+
 def test_stream_has_bounded_memory():
     encoder = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     rng, stream, ids, text = random.Random(4), bpe.Stream(encoder.v), [], ""
