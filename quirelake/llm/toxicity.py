@@ -39,6 +39,9 @@ STEM = 5
 EXCEPTION_DOCUMENTS = 3
 #: Words added to a text's length, so that one hit in a few words is not everything.
 LENGTH_PRIOR = 20
+#: Marked documents that lexicon, exceptions and calibration are fitted on, at most about.
+LABELLED_ROWS = 100_000
+SAMPLE_SEED = 3
 #: Intercept and slopes used where labels do not have both values.
 UNTRAINED = (-4.0, 1.0, 1.0)
 
@@ -95,9 +98,19 @@ def _left(found: dict[int, float], spared: list[int]) -> dict[int, float]:
     return {b: w for b, w in found.items() if not any(x <= b < y for x, y in covered)}
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marks, "doc_id")
+def _bounded(marks: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` of the marks at most, by the hash of their doc_id: the same ones each time."""
+    share = rows / max(1, marks.count())
+    if share >= 1:
+        return marks
+    place = F.pmod(F.xxhash64(F.lit(SAMPLE_SEED), "doc_id"), F.lit(1 << 31))
+    return marks.where(place < int(share * (1 << 31)))
+
+
+def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Texts with their marks, which are of bounded number: texts stay where they are."""
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(marks), "doc_id")
 
 
 def _tally(batches):
@@ -241,22 +254,28 @@ def _calibrated(features: DataFrame) -> tuple[float, float, float]:
     return (float(model.intercept), *map(float, model.coefficients))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, training: str = "true") -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, training: str = "true", labelled_rows: int = LABELLED_ROWS
+) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id and score, 0 to 1.
 
     ``labels`` has doc_id and toxic (0 or 1); of several marks the highest counts, NULL
     marks are ignored. ``training`` is a condition on doc_id: only labels of documents
-    that meet it are learned from. A NULL or empty text scores as one without hits. Rows
+    that meet it are learned from, about ``labelled_rows`` of them at most, chosen by a hash of
+    the id. A NULL or empty text scores as one without hits. Rows
     that repeat score like each other, other columns are ignored, no row gives no result.
     Without marks of both kinds the lexicon is empty and all scores are equal.
     """
     marked = labels.where(training).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    labelled = _labelled(docs, marked)
+    marks = marked.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic")
+    )
+    marks = written(_bounded(marks, labelled_rows))
+    labelled = _labelled(docs, marks)
     weights = _weights(labelled)
     patterns = [] if weights is None else [weights, _exceptions(labelled, weights)]
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     measured = written(_matched(texts, patterns).mapInArrow(_measure, "doc_id long, weight_sum double, weight_rate double"))
-    marks = marked.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    intercept, by_sum, by_rate = _calibrated(measured.join(marks, "doc_id"))
+    intercept, by_sum, by_rate = _calibrated(measured.join(F.broadcast(marks), "doc_id"))
     margin = intercept + by_sum * F.col("weight_sum") + by_rate * F.col("weight_rate")
     return measured.select("doc_id", (1 / (1 + F.exp(-margin))).alias("score"))

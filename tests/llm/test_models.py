@@ -44,6 +44,90 @@ def test_lexicon_is_learned_and_exceptions_spare(spark):
     assert all(r.score == pytest.approx(1 / (1 + np.exp(4))) for r in empty.collect())
 
 
+def plain_scores(docs, labels, learned):
+    """Weights, exceptions and scores in plain loops, without the automaton."""
+    marks = {}
+    for i, toxic in labels:
+        if toxic is not None and learned(i):
+            marks[i] = max(toxic, marks.get(i, 0))
+    fit = [(toxicity.folded(t or ""), marks[i]) for i, t in docs if i in marks]
+    totals = [sum(1 for _, m in fit if m == k) for k in (0, 1)]
+    counts = ({}, {})
+    for text, mark in fit:
+        words = set(text.split())
+        for term in words | {w[: toxicity.STEM] + "*" for w in words if len(w) > toxicity.STEM}:
+            counts[mark][term] = counts[mark].get(term, 0) + 1
+    weights = {}
+    for term, n in counts[1].items():
+        toxic, clean = n + 0.5, counts[0].get(term, 0) + 0.5
+        odds = np.log(toxic / (totals[1] + 1)) - np.log(clean / (totals[0] + 1))
+        weight = odds - toxicity.DOUBT * (1 / toxic + 1 / clean) ** 0.5
+        if n >= toxicity.TERM_DOCUMENTS and weight >= toxicity.TERM_WEIGHT:
+            weights[term] = round(weight, 6)
+
+    def hits(words):
+        found = {}
+        for at, word in enumerate(words):
+            mine = [w for t, w in weights.items()
+                    if t == word or t.endswith("*") and word.startswith(t[:-1])]
+            if mine:
+                found[at] = max(mine)
+        return found
+
+    phrases = ({}, {})
+    for text, mark in fit:
+        words = text.split()
+        seen = {" ".join(words[a : a + 2]) for at in hits(words) for a in (at - 1, at)
+                if 0 <= a and a + 1 < len(words)}
+        for phrase in seen:
+            phrases[mark][phrase] = phrases[mark].get(phrase, 0) + 1
+    spared = {p for p, n in phrases[0].items() if n >= toxicity.EXCEPTION_DOCUMENTS and p not in phrases[1]}
+    sums = []
+    for i, t in docs:
+        words = toxicity.folded(t or "").split()
+        total = sum(w for at, w in hits(words).items() if not any(
+            " ".join(words[a : a + 2]) in spared for a in (at - 1, at) if a >= 0))
+        sums.append((i, round(float(np.log1p(total)), 6)))
+    return weights, spared, sums
+
+
+def test_weights_exceptions_and_sums_against_loops(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("bcdfghk", k=rng.choice([4, 7]))) for _ in range(60)]
+    bad = ["qmoron", "qidiots"]
+    docs, labels = [], []
+    for i in range(260):
+        text = rng.choices(words, k=25)
+        if i % 5 == 0:
+            text.insert(rng.randrange(25), rng.choice(bad))
+        elif i % 60 == 1:
+            text[7:7] = ["sore", "qmoron"]
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 5 == 0)))
+    docs += [(1000, None), (1001, ""), docs[0], docs[1]]
+    weights, spared, sums = plain_scores(docs, labels, lambda i: i % 7 != 0)
+    assert weights and spared
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    labelled = toxicity._labelled(frame, marks.where("doc_id % 7 <> 0"))
+    found = toxicity._weights(labelled)
+    got = {r.pattern: r.weight for r in found.collect()}
+    assert got == pytest.approx(weights)
+    exceptions = toxicity._exceptions(labelled, found)
+    assert {r.pattern for r in exceptions.collect()} == spared
+    measured = toxicity._matched(frame, [found, exceptions]).mapInArrow(
+        toxicity._measure, "doc_id long, weight_sum double, weight_rate double"
+    )
+    assert sorted((r.doc_id, round(r.weight_sum, 6)) for r in measured.collect()) == sorted(sums)
+
+
+def test_the_fit_is_bounded_and_repeats(spark):
+    marks = spark.range(2_000).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    once, again = (sorted(toxicity._bounded(m, 300).collect()) for m in (marks, marks.repartition(7)))
+    assert once == again and 200 < len(once) < 400
+    assert toxicity._bounded(marks, 2_000).count() == 2_000
+
+
 def many_terms():
     """As many toxic words as documents of one kind, each in four of them, and exceptions."""
     letters = "bcdfghjklm"
