@@ -99,8 +99,8 @@ def test_weights_exceptions_and_sums_against_loops(spark):
     for i in range(260):
         text = rng.choices(words, k=25)
         if i % 5 == 0:
-            text.insert(rng.randrange(25), rng.choice(bad))
-        elif i % 60 == 1:
+            text.insert(rng.randrange(25), bad[i % 10 // 5])
+        elif i % 80 == 1:
             text[7:7] = ["sore", "qmoron"]
         docs.append((i, " ".join(text)))
         labels.append((i, int(i % 5 == 0)))
