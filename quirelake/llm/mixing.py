@@ -7,10 +7,14 @@ each pattern is used. Within a pattern, documents are drawn in a seeded order.
 """
 
 from collections import defaultdict, deque
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirelake.llm.components import components
 from quirelake.llm.workspace import written
 
 MAX_REPEATS = 3
@@ -19,9 +23,6 @@ REPEAT_COSTS = (0, 1, 4)
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
 SEED = 20_240_607
-#: Membership patterns that the flow takes at most; they are summed up on the cluster,
-#: and only these sums reach the driver. More of them is an error, never a cut.
-MAX_PATTERNS = 100_000
 #: Parts of the seeded order, by which the place to stop at is found.
 BINS = 4_096
 
@@ -88,29 +89,9 @@ def _cheapest_flow(sizes: dict, quotas: dict) -> dict:
 
 
 def routed(sizes: dict, targets: dict) -> dict:
-    """Words to take of each pattern. Sources that no pattern joins need no flow."""
-    parent = {s: s for s in targets}
-
-    def top(s):
-        while parent[s] != s:
-            s = parent[s]
-        return s
-
-    for pattern in sizes:
-        for s in pattern[1:]:
-            parent[top(s)] = top(pattern[0])
-    groups = defaultdict(dict)
-    for pattern, size in sizes.items():
-        groups[top(pattern[0])][pattern] = size
-    taken = {}
-    for group in groups.values():
-        quotas = {s: round(targets[s]) for pattern in group for s in pattern}
-        if len(group) == 1 and len(quotas) == 1:
-            (pattern, size), = group.items()
-            taken[pattern] = min(quotas[pattern[0]], MAX_REPEATS * size)
-        else:
-            taken |= _cheapest_flow(group, quotas)
-    return taken
+    """Words to take of each pattern, by the cheapest flow to the rounded targets."""
+    quotas = {s: round(targets[s]) for pattern in sizes for s in pattern}
+    return _cheapest_flow(sizes, quotas)
 
 
 def mix(docs: DataFrame, memberships: str = "array(source)", weights: dict | None = None,
@@ -123,55 +104,147 @@ def mix(docs: DataFrame, memberships: str = "array(source)", weights: dict | Non
     point, NULL last. taken is size times the whole number of times that the document is
     used, 0 to MAX_REPEATS. Documents of size 0 are never taken. Rows that repeat are
     documents of their own and share a place in the seeded order; they only differ where
-    a source is full in between, and then it does not matter which of them is taken.
-    Columns of ``docs`` that have one of the new names are replaced.
+    a source is full in between, and then it does not matter which of them is taken. No row
+    gives no result. Columns of ``docs`` that have one of the new names are replaced, all
+    others stay, whatever their names.
+
+    Sources and patterns may be of any number: targets are found by sums over the table of
+    sources, and each set of sources that patterns connect is a flow of its own in a task.
     """
-    spark = docs.sparkSession
     sized = _sized(docs, memberships, seed)
     measured = written(sized.select("pattern", "place", "size"))
-    sums = measured.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1)
-    sums = {tuple(r.pattern): r.size for r in sums.collect()}
-    if len(sums) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    plan = _plan(sums, weights)
-    schema = "pattern array<string>, source_size long, target double, repeats int, rest long"
-    plan = spark.createDataFrame(plan, schema).coalesce(1)
+    sums = written(measured.groupBy("pattern").agg(F.sum("size").alias("size")))
+    plan = written(_routes(sums, written(_targets(sums, weights))))
     cut = written(_within(measured, written(_cut(measured, plan))))
-    return _taken(sized, written(_filled(measured, cut))).select(
-        *[c for c in docs.columns if c not in _NEW], *_NEW
-    )
+    taken = _taken(sized, written(_filled(measured, cut)))
+    kept = [F.col("__row")[c].alias(c) for c in docs.columns if c not in _NEW]
+    return taken.select(*kept, *_NEW)
 
 
 _NEW = ("size", "source_size", "target", "taken", "times")
 
 
 def _sized(docs: DataFrame, memberships: str, seed: int) -> DataFrame:
-    """Adds size, pattern (a sorted set, NULL last) and place (the seeded order)."""
+    """The rows as they are in __row, with size, pattern (a sorted set, NULL last) and place
+    (the seeded order)."""
     id_ = F.col("doc_id").cast("string")
     members = F.expr(f"coalesce({memberships}, array(NULL))").cast("array<string>")
     members = F.when(F.size(members) == 0, F.array(F.lit(None).cast("string"))).otherwise(members)
-    return docs.withColumns({
-        "size": F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long"),
-        "pattern": F.array_sort(F.array_distinct(members)),
-        "place": F.xxhash64(F.lit(seed), id_, F.when(id_.isNull(), F.col("text"))),
-    })
-
-
-def _plan(sums: dict, weights: dict | None) -> list[tuple]:
-    sizes: dict = defaultdict(int)
-    for pattern, size in sums.items():
-        for s in pattern:
-            sizes[s] += size
-    ordered = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weights = weights or {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(ordered)}
-    targets = shares({s: sizes[s] for s in ordered}, weights, sum(sums.values()))
-    taken = routed(sums, targets)
-    plan = []
-    for pattern, size in sums.items():
-        repeats, rest = divmod(taken[pattern], size) if size else (0, 0)
-        first = pattern[0]
-        plan.append((list(pattern), sizes[first], targets[first], repeats, rest))
-    return plan
+    return docs.select(
+        F.struct(*docs.columns).alias("__row"),
+        F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
+        F.array_sort(F.array_distinct(members)).alias("pattern"),
+        F.xxhash64(F.lit(seed), id_, F.when(id_.isNull(), F.col("text"))).alias("place"),
+    )
+
+
+def _numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with number: their place in code point order, NULL last, from 0."""
+    places = F.monotonically_increasing_id().alias("at")
+    ordered = written(sources.orderBy(F.asc_nulls_last("source")).select("*", places))
+    block = F.shiftright("at", 33)
+    counts = sorted(map(tuple, ordered.groupBy(block.alias("block")).count().collect()))
+    starts, n = [], 0
+    for number, count in counts:  # one row per partition
+        starts.append((number, n))
+        n += count
+    starts = ordered.sparkSession.createDataFrame(starts, "block long, start long")
+    return (
+        ordered.withColumn("block", block).join(F.broadcast(starts), "block")
+        .select("source", "size", F.expr("start + (at & 8589934591)").alias("number"))
+    )
+
+
+def _targets(sums: DataFrame, weights: dict | None) -> DataFrame:
+    """Per source: source, number, size and target.
+
+    What ``shares`` says, by sums over the table: a source is full when its room per weight
+    lies below what is left per weight, and that only grows from step to step.
+    """
+    spark = sums.sparkSession
+    sources = _numbered(
+        sums.select(F.explode("pattern").alias("source"), "size").groupBy("source").agg(
+            F.sum("size").alias("size")
+        )
+    )
+    if weights is None:
+        weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("number") % len(WEIGHTS) + 1).cast("int"))
+        sources = sources.withColumn("weight", weight.cast("double"))
+    else:
+        given = [(s, float(w)) for s, w in weights.items()]
+        given = spark.createDataFrame(given, "source string, weight double")
+        sources = sources.join(given, sources["source"].eqNullSafe(given["source"])).drop(given["source"])
+    sources = written(sources)
+    total = sums.agg(F.sum("size")).first()[0] or 0
+    room = F.lit(MAX_REPEATS) * F.col("size")
+    every = sources.agg(F.sum("weight")).first()[0] or 0.0
+    left, weight, full = float(total), every, 0
+    while weight > 0:
+        is_full = left * F.col("weight") / weight > room
+        row = sources.where(is_full).agg(F.count("*"), F.sum(room), F.sum("weight")).first()
+        if row[0] == full:
+            break
+        full, left, weight = row[0], float(total - row[1]), every - row[2]
+    shared = left * F.col("weight") / weight if weight > 0 else room.cast("double")
+    target = F.when(shared > room, room.cast("double")).otherwise(shared)
+    return sources.select("source", "number", "size", target.alias("target"))
+
+
+def _routes(sums: DataFrame, sources: DataFrame) -> DataFrame:
+    """Per pattern: source_size and target of its first source, and what the flow takes of
+    it: whole repeats of all its documents and the rest in words."""
+    members = sums.select("pattern", "size", F.explode("pattern").alias("source")).join(
+        sources.select(F.col("source").alias("s"), "number", F.col("size").alias("held"), "target"),
+        F.expr("source <=> s"),
+    )
+    listed = members.groupBy("pattern", "size").agg(
+        F.array_sort(F.collect_list(F.struct("number", "held", "target"))).alias("members")
+    )
+    # sources that a pattern joins belong to one flow; a lone source is a flow of its own
+    edges = listed.where(F.size("members") > 1).select(
+        F.col("members")[0]["number"].alias("a"), F.explode("members.number").alias("b")
+    )
+    roots = components(edges)
+    first = F.col("members")[0]["number"]
+    if roots is None:
+        grouped = listed.withColumn("flow", first)
+    else:
+        grouped = listed.join(roots, first == roots["node"], "left").withColumn(
+            "flow", F.coalesce("root", first)
+        )
+    rows = grouped.select("flow", "pattern", "size", F.col("members.number").alias("numbers"),
+                          F.col("members.target").alias("targets"),
+                          F.col("members")[0]["held"].alias("source_size"))
+    return rows.repartition("flow").sortWithinPartitions("flow", "numbers").mapInArrow(
+        _flows, "pattern array<string>, source_size long, target double, repeats int, rest long"
+    )
+
+
+def _flows(batches):
+    """Rows come flow by flow."""
+
+    def routes(group):
+        sizes = {tuple(r["numbers"]): r["size"] for r in group}
+        targets = {s: t for r in group for s, t in zip(r["numbers"], r["targets"])}
+        taken = routed(sizes, targets)
+        out = []
+        for r in group:
+            words = taken[tuple(r["numbers"])]
+            repeats, rest = divmod(words, r["size"]) if r["size"] else (0, 0)
+            out.append((r["pattern"], r["source_size"], r["targets"][0], repeats, rest))
+        return out
+
+    kinds = [pa.list_(pa.string()), pa.int64(), pa.float64(), pa.int32(), pa.int64()]
+    names = ["pattern", "source_size", "target", "repeats", "rest"]
+    rows = (row for batch in batches for row in batch.to_pylist())
+    out = []
+    for _, group in groupby(rows, itemgetter("flow")):
+        out += routes(list(group))
+        if len(out) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
 def _bin() -> F.Column:
@@ -233,13 +306,9 @@ def _filled(measured: DataFrame, cut: DataFrame) -> DataFrame:
 
 def _taken(sized: DataFrame, cut: DataFrame) -> DataFrame:
     limits = cut.withColumnRenamed("pattern", "of")
-    sized = sized.select(
-        *[c for c in sized.columns if c not in ("source_size", "target", "taken", "times")],
-        _bin().alias("__bin"),
-    )
     more = _again() | F.coalesce(F.col("place") == F.col("fill"), F.lit(False))
     return (
-        sized.join(limits, sized.pattern == limits["of"])
+        sized.withColumn("__bin", _bin()).join(limits, F.col("pattern") == F.col("of"))
         .withColumn("times", F.when(F.col("size") == 0, 0)
                     .otherwise(F.col("repeats") + more.cast("int")))
         .withColumn("taken", F.col("size") * F.col("times"))
@@ -248,7 +317,7 @@ def _taken(sized: DataFrame, cut: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, memberships: str = "array(source)") -> DataFrame:
     """Each document as many times as the mix uses it, with the columns of ``docs``."""
-    rows = mix(docs.withColumn("__row", F.struct(*docs.columns)), memberships)
+    rows = mix(docs.withColumn("__whole", F.struct(*docs.columns)), memberships)
     return rows.where("times > 0").select(
-        "__row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__time")
-    ).select("__row.*")
+        "__whole", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__time")
+    ).select("__whole.*")

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import product
 
 import public_tokenizers
 import pytest
@@ -240,6 +241,75 @@ def test_overlapping_memberships_are_mixed_end_to_end(spark):
     assert abs(taken["d",] - targets["d"]) <= 9
 
 
+def test_any_column_name_and_empty_tables(spark):
+    names = ("rest last bin of fill gap wanted repeats place pattern before number held flow members"
+             " numbers targets weight size target taken times source_size __bin").split()
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randint(0, 9), rng.choice("abc")) for i in range(60)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = plain.selectExpr("*", *[f"'z' AS `{n}`" for n in names])
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    want = sorted(mixing.mix(plain).select(*columns).collect())
+    got = mixing.mix(clash)
+    assert sorted(got.select(*columns).collect()) == want
+    assert got.where("rest = 'z' AND pattern = 'z' AND place = 'z'").count() == 60
+    mixed = mixing.mixed_documents(clash)
+    assert mixed.columns == clash.columns
+    assert mixed.where("size = 'z' AND last = 'z'").count() == mixing.mixed_documents(plain).count()
+    assert mixing.mixed_documents(clash.limit(0)).count() == 0
+
+
+def test_targets_are_the_shares_of_many_sources(spark):
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.choice([0, 1, 5, 60]), f"s{rng.randrange(900)}é") for i in range(3_000)]
+    rows += [(9_000 + i, "w " * 500, "big") for i in range(40)] + [(9_999, "w w", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    want = mixing.shares({s: sizes[s] for s in order}, weights, sum(sizes.values()))
+    got = mixing.mix(docs).select("source", "target", "source_size").distinct().collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source]
+
+
+def least_cost(sizes, quotas):
+    """The most words, then the least cost, over all whole flows of a tiny table."""
+    patterns, best = list(sizes), None
+    choices = []
+    for p in patterns:
+        top = 3 * sizes[p]
+        choices.append([c for c in product(range(top + 1), repeat=len(p)) if sum(c) <= top])
+    for flow in product(*choices):
+        given = defaultdict(int)
+        for p, parts in zip(patterns, flow):
+            for s, n in zip(p, parts):
+                given[s] += n
+        if any(given[s] > quotas[s] for s in given):
+            continue
+        words = [sum(parts) for parts in flow]
+        cost = sum(sum(c * max(0, min(w - i * sizes[p], sizes[p])) for i, c in enumerate(mixing.REPEAT_COSTS))
+                   for p, w in zip(patterns, words))
+        key = (-sum(words), cost)
+        best = key if best is None else min(best, key)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_is_the_cheapest(seed):
+    rng = random.Random(seed)
+    kinds = rng.sample([("a",), ("b",), ("a", "b"), ("b", "c")], 3)
+    sizes = {p: rng.randint(1, 2) for p in kinds}
+    quotas = {s: rng.randint(0, 5) for s in "abc"}
+    taken = mixing.routed(sizes, quotas)
+    cost = sum(sum(c * max(0, min(taken[p] - i * sizes[p], sizes[p])) for i, c in enumerate(mixing.REPEAT_COSTS))
+               for p in sizes)
+    assert (-sum(taken.values()), cost) == least_cost(sizes, quotas)
+
+
 def test_mixed_documents_repeat_rows(docs):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
