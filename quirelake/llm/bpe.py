@@ -12,6 +12,8 @@ import codecs
 import hashlib
 import json
 import re
+import sys
+import types
 import unicodedata
 
 import numpy as np
@@ -23,9 +25,9 @@ from pyspark.sql import functions as F
 #: Characters of a text that are read at once, up to the next blank.
 RUN_CHARS = 1 << 16
 #: Distinct pieces whose tokens a worker keeps, ...
-KEPT_PIECES = 300_000
+KEPT_PIECES = 450_000
 #: ... none of them longer than this; longer ones are streamed each time. With their ids that
-#: is 200 MB at the very most, and a quarter of it in ordinary text.
+#: is 300 MB at the very most, and a quarter of it in ordinary text.
 KEPT_CHARS = 64
 #: Units after which a stream looks for tokens that have become final.
 EMIT_EVERY = 256
@@ -339,16 +341,14 @@ class Encoder:
         return [int(i) for ids in self.ids(text) for i in ids]
 
 
-#: One encoder per worker process and file, see ``held_encoder``.
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def held_encoder(path: str) -> Encoder:
-    """A worker that Spark uses again for another task still knows the pieces it has met,
-    where this module is installed; where it travels by value, each task has its own."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """One encoder per worker process and file: a worker that Spark uses again for another
+    task still knows the pieces it has met. This module travels by value, so what is to
+    outlive a task hangs on a module of the worker itself."""
+    held = sys.modules.setdefault("quirelake_held_encoders", types.ModuleType("held"))
+    if path not in vars(held):
+        vars(held)[path] = Encoder(path)
+    return vars(held)[path]
 
 
 def _digests(path: str):
