@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 #: Characters of a text that are read at once, up to the next blank.
 RUN_CHARS = 1 << 16
 #: Distinct pieces whose tokens a worker keeps, ...
-KEPT_PIECES = 450_000
+KEPT_PIECES = 600_000
 #: ... none of them longer than this; longer ones are streamed each time. With their ids that
-#: is 300 MB at the very most, and a quarter of it in ordinary text.
+#: is 400 MB at the very most, and a quarter of it in ordinary text.
 KEPT_CHARS = 64
 #: Units after which a stream looks for tokens that have become final.
 EMIT_EVERY = 256
@@ -183,12 +183,26 @@ class Stream:
         return out
 
     def _extend(self, units: str) -> None:
+        # _choose for every unit, written out: this is where the time goes
         start = len(self.text)
         self.text += units
-        for end in range(start + 1, len(self.text) + 1):
-            begin, new = self._choose(end, self.v.inner)
-            self.back.append(begin)
-            self.token.append(new)
+        text, token, back, v = self.text, self.token, self.back, self.v
+        known, reach, remembered = v.inner, v.reach, v._apart
+        for end in range(start + 1, len(text) + 1):
+            for begin in range(max(0, end - reach.get(text[max(0, end - 2) : end], 1)), end):
+                new = known.get(text[begin:end])
+                if new is None:
+                    continue
+                last = token[begin]
+                if last < 0:
+                    break
+                free = remembered.get(last << 24 | new)
+                if free or free is None and v.apart(last, new):
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a unit")
+            back.append(begin)
+            token.append(new)
 
     def _final(self) -> list[int]:
         n = len(self.text)
