@@ -43,7 +43,8 @@ def judged_texts(spark: SparkSession, prose: list[str], salt: int = 0) -> DataFr
         return F.pmod(F.xxhash64("doc_id", F.lit(salt), F.lit(next(turn)), *more), F.lit(below)).cast("int")
 
     def one_of(choices):
-        return F.get(F.array(*map(F.lit, choices)), number(len(choices)))
+        # one literal, not one per choice: plans stay small
+        return F.get(F.split(F.lit("\x01".join(choices)), "\x01"), number(len(choices)))
 
     def drawn(alphabet, low, high=None):
         length = number(high - low + 1) + low if high else F.lit(low)
