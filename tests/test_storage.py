@@ -279,3 +279,35 @@ def test_days_compacted_elsewhere(spark, root):
     runs.run_days(spark, root, [DAY1], ["kakao"])
     assert found == {t: rows(f) for t, f in runs.read_scope(spark, root).items()}
     assert len(found["episodes"]) == 3
+
+
+@pytest.fixture
+def open_files(spark, monkeypatch):
+    """What the session says of files side by side, at every write to Parquet."""
+    from pyspark.sql import DataFrameWriter
+
+    seen, plain = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        seen.append((path, spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return plain(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen
+
+
+def test_partitions_are_written_without_a_sort(spark, tmp_path, open_files):
+    from datetime import date
+
+    from quirelake.sources import tables
+
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    days = [(i, date(2025, 3, 1 + i % 12)) for i in range(60)]
+    rows = spark.createDataFrame(days, "id long, landing_date date").coalesce(1)
+    for mode in ("overwrite", "append"):
+        tables._save(rows, f"{tmp_path}/t", ["landing_date"], mode, None)
+    assert [int(n) for _, n in open_files] == [tables.OPEN_FILES] * 2
+    assert spark.conf.get(setting) == before
+    read = spark.read.parquet(f"{tmp_path}/t")
+    assert sorted(map(tuple, read.select("id", "landing_date").collect())) == sorted(days * 2)
