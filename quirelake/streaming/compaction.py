@@ -17,7 +17,7 @@ from quirelake.conventions import MERGED_FILES_PER_BATCH
 from quirelake.schemas import LANDING
 from quirelake.sources.landing import at_depth, no_documents, read_files
 from quirelake.sources.layout import merged_path
-from quirelake.sources.tables import read_or_empty
+from quirelake.sources.tables import read_or_empty, unsorted_writes
 from quirelake.streaming.ledger import (
     date_glob,
     ledger_path,
@@ -127,7 +127,8 @@ def _compact_round(
 
 def _replace(df: DataFrame, path: str) -> None:
     writer = df.write.mode("overwrite").partitionBy(*_BY)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    with unsorted_writes(df.sparkSession):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def compact(

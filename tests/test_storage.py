@@ -311,3 +311,10 @@ def test_partitions_are_written_without_a_sort(spark, tmp_path, open_files):
     assert spark.conf.get(setting) == before
     read = spark.read.parquet(f"{tmp_path}/t")
     assert sorted(map(tuple, read.select("id", "landing_date").collect())) == sorted(days * 2)
+
+
+def test_batches_are_merged_without_a_sort(spark, root, open_files):
+    compact(spark, root, "naver", "episodes")
+    merged = merged_path(root, "naver", "episodes")
+    assert [int(n) for path, n in open_files if path == merged] == [8]
+    assert read_merged(spark, root, "naver", "episodes").count() > 0
