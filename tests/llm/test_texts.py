@@ -418,3 +418,28 @@ def test_repeated_passages_are_found(docs, rows):
         for i in range(len(words) - 49):
             windows[tuple(words[i : i + 50])].add(doc)
     assert {d for v in windows.values() if len(v) > 1 for d in v} <= found
+
+
+def _passages_of_the_middle():
+    """Documents 0 and 9 hold shingles of all others, 3 and 6 share a passage that neither holds."""
+    rng = random.Random(8)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    shared, noise = prose(70), prose(6)
+    # every shingle of the passage is also a lone piece of the first and the last text
+    pieces = []
+    for i in range(0, 66):
+        pieces += shared[i : i + 5] + prose(40)
+    return [
+        (0, " ".join(pieces)), (3, " ".join(noise + shared + prose(30))),
+        (6, " ".join(prose(30) + shared + prose(5))), (9, " ".join(prose(3) + pieces)), (4, " ".join(prose(80))),
+    ]
+
+
+def test_passages_that_first_and_last_holder_lack_are_found(spark):
+    docs = spark.createDataFrame(_passages_of_the_middle(), "doc_id long, text string")
+    got = {(r.doc_id, r.other_id, r.component_id) for r in repeated_passages(docs).collect()}
+    assert (3, 6, 3) in got
+    assert {root for a, _, root in got if a == 0} <= {0}
