@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.llm.words import WordHashes, shingles, word_hashes
+from quirelake.llm.words import LineHashes, WordHashes, shingles, word_hashes
 from quirelake.llm.workspace import written
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -27,6 +27,8 @@ LINE_DOCUMENTS = 20
 DEPLETED_PERCENT = 50
 #: Parts that a common line or a group of copies is joined in.
 SALTS = 16
+#: Documents that a task takes out of Arrow at a time.
+SLICE = 1000
 
 _DIGITS = re.compile(rb"[0-9]+")
 
@@ -77,7 +79,7 @@ def line_words(text: bytes, table: WordHashes) -> dict[int, int]:
 
 
 def _measure(batches):
-    table, lines = WordHashes(), WordHashes()
+    table, lines = WordHashes(), LineHashes()
     for batch in batches:
         counts, hashes, sizes = [], [], []
         for text in batch.column("text").to_pylist():
@@ -194,14 +196,16 @@ def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
     repeated one are treated like all others. n_chars, where there is one, follows the text.
     """
     measured = written(_measured(docs, host))
+    # the text moves once, not also within the row
+    others = [docs[c] for c in docs.columns if c != "text"]
     rows = docs.select(
         _page(F.col(host), F.col("text")).alias("__page"), _salt("doc_id"),
-        F.col("text").cast("binary").alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("text").cast("binary").alias("text"), F.struct(*others).alias("row"),
     )
     body = _beside(rows, written(boilerplate(measured)).select("page", "common")).select(
         "text", F.coalesce("common", F.array().cast("array<long>")).alias("common"), "row"
     )
-    schema = f"row {docs.schema.simpleString()}, text binary, kept boolean"
+    schema = f"row {body.schema['row'].dataType.simpleString()}, text binary, kept boolean"
     rows = body.mapInArrow(_verdicts, schema).where("kept").select("row.*", F.col("text").alias("__text"))
     text = F.col("__text").cast("string")
     rows = rows.withColumn("text", text)
@@ -213,8 +217,8 @@ def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
 
 def _verdicts(batches):
     table = WordHashes()
-    lines = WordHashes()
-    for batch in batches:
+    lines = LineHashes()
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, len(b), SLICE)):
         texts, kept = [], []
         for text, common in zip(batch.column("text").to_pylist(), batch.column("common").to_pylist()):
             body = text or b""

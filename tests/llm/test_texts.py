@@ -443,3 +443,16 @@ def test_passages_that_first_and_last_holder_lack_are_found(spark):
     got = {(r.doc_id, r.other_id, r.component_id) for r in repeated_passages(docs).collect()}
     assert (3, 6, 3) in got
     assert {root for a, _, root in got if a == 0} <= {0}
+
+
+def test_kept_documents_move_their_text_once(spark):
+    docs = spark.createDataFrame(
+        [(i, f"line {i} " + "word " * 3 + " ".join(f"x{i}y{j}" for j in range(40)), "s", 3) for i in range(9)],
+        "doc_id long, text string, source string, n_chars long",
+    )
+    kept = quality.kept_documents(docs)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    (row,) = {line.split("struct(", 1)[1] for line in plan.splitlines() if "struct(" in line and "doc_id" in line}
+    assert "text" not in row.split(") AS row")[0]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id: (r.text, r.n_chars) for r in kept.collect()} == {i: (t, len(t)) for i, t in texts.items()}
