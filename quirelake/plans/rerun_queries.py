@@ -190,9 +190,12 @@ def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_nationkey") == 3, F.lit("5")).when(F.col("s_acctbal") < 0, odd)
         .otherwise(whole)
     )
-    listings = supplier.select(F.parse_json(data).alias("data"))
+    # a file costs milliseconds, so they are made and committed by many tasks
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listings = supplier.repartition(tasks).select(F.parse_json(data).alias("data"))
     path = f"{landing_folder(root, KAKAO, 'finished_titles')}/{THURSDAY:%Y/%m/%d}"
-    listings.write.option("maxRecordsPerFile", 1).json(path)
+    writer = listings.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    writer.option("maxRecordsPerFile", 1).json(path)
     runs.run_history(spark, root, platforms=[KAKAO], quarantine=True)
     titles = read_curated(spark, root, "titles").select(F.lit("title").alias("kind"), F.col("id").alias("n"))
     held = read_quarantine(spark, root, [THURSDAY], [KAKAO])

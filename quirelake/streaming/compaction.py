@@ -17,7 +17,7 @@ from quirelake.conventions import MERGED_FILES_PER_BATCH
 from quirelake.schemas import LANDING
 from quirelake.sources.landing import at_depth, no_documents, read_files
 from quirelake.sources.layout import merged_path
-from quirelake.sources.tables import read_or_empty, unsorted_writes
+from quirelake.sources.tables import few_listing_tasks, read_or_empty, unsorted_writes
 from quirelake.streaming.ledger import (
     date_glob,
     ledger_path,
@@ -106,7 +106,8 @@ def _compact_round(
     # a path is read as a pattern
     paths = files.select(F.regexp_replace("path", r"([{}\[\]*?\\])", r"\\$1")).collect()
     paths = [r[0] for r in paths]
-    docs = read_files(spark, paths, platform, target, schema, multiline, report=True)
+    with few_listing_tasks(spark):
+        docs = read_files(spark, paths, platform, target, schema, multiline, report=True)
     docs = at_depth(docs, target)
     # the round's own file names: bounded by files_per_batch
     docs = docs.join(F.broadcast(files.select("filename", "batch")), "filename")

@@ -318,3 +318,42 @@ def test_batches_are_merged_without_a_sort(spark, root, open_files):
     merged = merged_path(root, "naver", "episodes")
     assert [int(n) for path, n in open_files if path == merged] == [8]
     assert read_merged(spark, root, "naver", "episodes").count() > 0
+
+
+def test_many_files_are_looked_up_by_few_tasks(spark, tmp_path):
+    from quirelake.sources import tables
+
+    files = tables.LISTING_TASKS + 22
+    folder = tmp_path / "raw/naver/episodes/2025/02/27/1"
+    folder.mkdir(parents=True)
+    for n in range(files):
+        (folder / f"{n}.json").write_text('{"titleId": 1, "articleList": []}')
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.sparkContext.setJobGroup("looked up", "looked up")
+    try:
+        assert compact(spark, str(tmp_path), "naver", "episodes", multiline=False) == files
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup("looked up") for s in status.getJobInfo(j).stageIds]
+    tasks = [status.getStageInfo(s).numTasks for s in stages if status.getStageInfo(s)]
+    assert max(tasks) == tables.LISTING_TASKS
+    assert spark.conf.get(setting) == before
+
+
+def test_a_file_each_is_written_by_many_tasks(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    there = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    columns = "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+    suppliers = [(n, f"s{n}", n % 5, float(n % 3 - 1)) for n in range(40)] + [(None, None, None, None)]
+    spark.createDataFrame(suppliers, columns).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    found = rows(queries()["quarantined_documents"](spark, str(tmp_path)))
+    assert len([r for r in found if r[0] == "title"]) == 33
+    [new] = set(os.listdir(shared)) - there
+    files = glob(f"{shared}/{new}/raw/kakao/finished_titles/2025/02/27/*.json")
+    assert len(files) == 41
+    assert len({os.path.basename(f).split("-")[1] for f in files}) > 1
