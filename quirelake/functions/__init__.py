@@ -3,6 +3,7 @@
 from quirelake.functions.arrays import explode_or, first_item, items_where
 from quirelake.functions.dates import (
     epoch_ms_date,
+    first_date,
     iso_date,
     landing_date,
     release_day,
@@ -17,6 +18,7 @@ __all__ = [
     "epoch_ms_date",
     "explode_or",
     "fill_template",
+    "first_date",
     "first_item",
     "iso_date",
     "items_where",

@@ -58,3 +58,8 @@ def landing_date(path) -> Column:
     return F.try_to_date(day, "yyyy/MM/dd")
 
 
+
+
+def first_date(path) -> Column:
+    """The ``YYYY/MM/DD`` that a path begins with; NULL when that is no date."""
+    return F.replace(F.left(_col(path), F.lit(10)), F.lit("/"), F.lit("-")).try_cast("date")

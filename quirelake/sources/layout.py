@@ -48,10 +48,13 @@ def landing_path(
     return path
 
 
-def file_pattern(target: str) -> str:
-    """How deep below its date folder a file of a target lies."""
-    below = "[^/]+" if target in FLAT_TARGETS else "[^/]+/[^/]+"
-    return rf"/\d{{4}}/\d{{2}}/\d{{2}}/{below}$"
+def depth(target: str) -> int:
+    """How many names, from its year on, end the path of a file of a target."""
+    return 4 if target in FLAT_TARGETS else 5
+
+
+#: The last names of a path (see ``depth``) that lies where the layout puts it.
+FILE_PATTERN = r"^\d{4}/\d{2}/\d{2}/"
 
 
 def day_partition(d: date) -> str:

@@ -357,3 +357,43 @@ def test_a_file_each_is_written_by_many_tasks(spark, tmp_path):
     files = glob(f"{shared}/{new}/raw/kakao/finished_titles/2025/02/27/*.json")
     assert len(files) == 41
     assert len({os.path.basename(f).split("-")[1] for f in files}) > 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_landed_files_are_dated_by_counted_names(spark, root):
+    from quirelake.functions import landing_date
+
+    for target in ("titles", "episodes"):
+        docs = sources.read_landing(spark, root, "naver", target)
+        assert "regexp_extract" not in _plan(docs)
+        named = docs.select("landing_date", landing_date("filename").alias("searched"))
+        assert named.count() > 0
+        assert named.where("NOT landing_date <=> searched").count() == 0
+    paths = ["file:/l/raw/2024/01/01/2025/02/27/f.json", "file:/l/2025/13/27/f.json", "file:/f.json"]
+    made = spark.createDataFrame([(p,) for p in paths], "filename string")
+    found = sources.landing.at_depth(made, "titles")
+    assert [(r.filename, str(r.landing_date)) for r in found.collect()] == [
+        (paths[0], "2025-02-27"), (paths[1], "None")]
+
+
+def test_listed_items_are_read_once(spark, root):
+    for platform in ("naver", "kakao"):
+        plan = _plan(sources.read_landing(spark, root, platform, "titles"))
+        assert "schema_of_variant" not in plan
+    listed = _plan(sources.read_landing(spark, root, "naver", "titles"))
+    assert listed.count("try_variant_get") == 1
+
+
+def test_partition_texts_are_made_once_a_partition(spark):
+    from quirelake.sources import tables
+
+    data = [(1, DAY1, "naver"), (1, DAY1, "naver"), (2, DAY2, "naver"), (3, None, "naver"), (4, DAY1, None)]
+    made = spark.createDataFrame(data, "id long, landing_date date, platform string")
+    for scope in ([(DAY1, "naver"), (DAY1, "naver")], [(DAY1, "naver"), (DAY2, "naver")], None):
+        expected = tables.partitioned(tables.in_scope(made, scope))
+        found = tables.scope_partitioned(made, scope)
+        assert sorted(found.columns) == sorted(expected.columns)
+        assert rows(found, *expected.columns) == rows(expected)
