@@ -38,7 +38,7 @@ from quirelake.sources.tables import (
     write_quarantine,
 )
 from quirelake.streaming.compaction import compact, read_merged
-from quirelake.streaming.ledger import cover, finished_batches, uncovered
+from quirelake.streaming.ledger import cover, finished_batches, read_ledger, uncovered
 
 Source = Callable[[str, str], DataFrame]
 
@@ -152,11 +152,16 @@ def compact_history(
     for platform in platforms:
         new = uncovered(spark, root, "shaped", platform, HISTORY.targets(platform)).collect()
         for target in HISTORY.targets(platform):
-            dirty = sorted({r.landing_date for r in new if r.target == target})
+            fresh = [r for r in new if r.target == target]
+            dirty = sorted({r.landing_date for r in fresh})
             if dirty:
                 docs = read_merged(spark, root, platform, target, dirty)
                 shaped = compact_shape(docs, platform, target, all_weekdays=True)
-                write_history(shaped, root, platform, target, max_files=max_files, dates=dirty)
+                # batches of dates without earlier ones lie in files of a fitting size already
+                ledger = read_ledger(spark, root, platform, target, dirty)
+                held = ledger.select("landing_date", "batch").distinct().count()
+                packed = max_files is None and held == len(fresh)
+                write_history(shaped, root, platform, target, "overwrite", max_files, dirty, packed)
                 if quarantine:
                     flagged = read_merged(spark, root, platform, target, dirty, report=True)
                     write_quarantine(flagged, root, platform, target, dirty)

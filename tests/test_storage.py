@@ -397,3 +397,22 @@ def test_partition_texts_are_made_once_a_partition(spark):
         found = tables.scope_partitioned(made, scope)
         assert sorted(found.columns) == sorted(expected.columns)
         assert rows(found, *expected.columns) == rows(expected)
+
+
+def test_fresh_history_is_written_as_it_lies(spark, root, monkeypatch):
+    from quirelake.plans import runs
+    from quirelake.sources import tables
+
+    moved, plain = [], tables.in_files
+    monkeypatch.setattr(tables, "in_files", lambda df, by, n=None: moved.append(by) or plain(df, by, n))
+    runs.compact_history(spark, root, platforms=["naver"])
+    assert ["platform", "landing_date"] not in moved
+    first = sources.read_history(spark, root, "naver", "episodes")
+    held, day = rows(first.select("title_id", "article.no")), first.first().landing_date
+    again = Path(root) / f"raw/naver/episodes/{day:%Y/%m/%d}/77"
+    again.mkdir(parents=True)
+    (again / "0.json").write_text('{"titleId": 77, "articleList": [{"no": 1}]}')
+    runs.compact_history(spark, root, platforms=["naver"])
+    assert moved.count(["platform", "landing_date"]) == 1
+    found = sources.read_history(spark, root, "naver", "episodes").select("title_id", "article.no")
+    assert rows(found) == sorted([*held, (77, 1)], key=lambda t: tuple((v is not None, str(v)) for v in t))
