@@ -1,10 +1,13 @@
 """Text operators against brute force, on small tables with every odd case."""
 
+import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import product
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -14,6 +17,8 @@ from tokenizers import Tokenizer
 from quirelake.llm import bpe, mixing, ngram_join, quality, token_counts
 from quirelake.llm.compact_windows import compact_windows, repeated_passages
 from quirelake.llm.components import components
+from quirelake.llm.ngram_join import ngram_groups
+from quirelake.llm.workspace import dropped, shared_root, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, row string"
@@ -456,3 +461,72 @@ def test_kept_documents_move_their_text_once(spark):
     assert "text" not in row.split(") AS row")[0]
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert {r.doc_id: (r.text, r.n_chars) for r in kept.collect()} == {i: (t, len(t)) for i, t in texts.items()}
+
+
+def _tables_left(spark):
+    root = shared_root(spark).removeprefix("file:")
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    table = written(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().repartition(3, "k"))
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert table.count() == 10
+    dropped(table)
+    assert table._written_to.rpartition("/")[2] not in _tables_left(spark)
+
+
+def test_joins_drop_the_tables_they_no_longer_need(spark):
+    words = [f"w{i}" for i in range(200)]
+    docs = spark.createDataFrame(
+        [(i, " ".join(words[: 150 + i % 7] + [f"x{i}"] * (i % 3))) for i in range(40)], "doc_id long, text string"
+    )
+    for made, least in ((ngram_groups, 4), (repeated_passages, 2)):
+        before = _tables_left(spark)
+        result = made(docs)
+        assert len(_tables_left(spark) - before) <= least
+        assert result.count() > 0
+
+
+def test_overlaps_are_counted_in_cells(spark, monkeypatch):
+    monkeypatch.setattr("quirelake.llm.cells.LEAST_BLOCKS", 3)
+    rng = np.random.default_rng(5)
+    sets = {i: rng.choice(300, rng.integers(1, 80), replace=False) for i in range(30)}
+    chosen = [(a, b) for a in sets for b in sets if a < b and (a * b) % 3]
+    pairs = spark.createDataFrame(
+        [(a, len(sets[a]), b, len(sets[b])) for a, b in chosen], "a long, na long, b long, nb long"
+    )
+    parts = spark.createDataFrame(
+        [(i, int(f), [int(v) for v in s if v % 4 == f]) for i, s in sets.items() for f in range(4) if any(s % 4 == f)],
+        "node long, fragment int, part array<long>",
+    )
+    got = {(r.a, r.b): r.same for r in ngram_join._overlaps(pairs, parts, 4).collect()}
+    assert got == {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in chosen}
+
+
+def test_entries_that_can_be_close_stay():
+    rng = np.random.default_rng(6)
+    values = np.sort(rng.integers(0, 60, 200)).astype(np.uint64)
+    sizes = rng.integers(4, 60, 200)
+    places = np.array([rng.integers(0, n // 4 + 1) for n in sizes])
+    kept = ngram_join._hopeful(values, sizes, places, 75)
+    close = np.zeros(200, bool)
+    for i in range(200):
+        for j in range(200):
+            need = -(-75 * (sizes[i] + sizes[j]) // 175)
+            fits = 100 * min(sizes[i], sizes[j]) >= 75 * max(sizes[i], sizes[j])
+            if i != j and values[i] == values[j] and fits:
+                close[i] |= places[i] <= sizes[i] - need and places[j] <= sizes[j] - need
+    assert kept[close].all() and not kept.all()
