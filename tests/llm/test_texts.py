@@ -5,7 +5,7 @@ import random
 import re
 import time
 from collections import Counter, defaultdict
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quirelake.llm import bpe, mixing, ngram_join, quality, token_counts
+from quirelake.llm import compact_windows as compact
 from quirelake.llm.compact_windows import compact_windows, repeated_passages
 from quirelake.llm.components import components
 from quirelake.llm.ngram_join import ngram_groups
@@ -450,6 +451,84 @@ def test_passages_that_first_and_last_holder_lack_are_found(spark):
     assert {root for a, _, root in got if a == 0} <= {0}
 
 
+def _prose(rng, n):
+    return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def _pairs_of_equal_runs(texts, n=50):
+    holders = defaultdict(set)
+    for doc, text in texts:
+        words = text.split()
+        for i in range(len(words) - n + 1):
+            holders[tuple(words[i : i + n])].add(doc)
+    return {pair for held in holders.values() for pair in combinations(sorted(held), 2)}
+
+
+def _texts_with_passages():
+    """One passage in many texts, others in two of them only, and copies of texts."""
+    rng = random.Random(21)
+    passage, inner = _prose(rng, 60), _prose(rng, 70)
+    texts = [(i, _prose(rng, 20 + i) + passage + _prose(rng, 30)) for i in range(12)]
+    for i in (4, 7):
+        texts[i] = (i, texts[i][1] + inner)
+    texts += [(20 + i, texts[i][1]) for i in (0, 5, 5, 11)]
+    texts += [(40, texts[5][1]), (41, _prose(rng, 90)), (42, _prose(rng, 90)), (43, _prose(rng, 30))]
+    texts.append((44, texts[17][1]))
+    return [(doc, " ".join(words)) for doc, words in {doc: words for doc, words in texts}.items()]
+
+
+@pytest.mark.parametrize("whole", [200, 2])
+def test_all_pairs_that_share_a_passage_are_reported(spark, monkeypatch, whole):
+    monkeypatch.setattr(compact, "WHOLE", whole)
+    monkeypatch.setattr(compact, "PART", 5)
+    texts = _texts_with_passages()
+    rows = repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    want = _pairs_of_equal_runs(texts)
+    assert {(0, 5), (4, 7), (5, 25), (7, 40), (41, 44)} <= want
+    assert {(r.doc_id, r.other_id) for r in rows} == want
+    assert len(rows) == len(set(rows))
+    words = {doc: text.split() for doc, text in texts}
+    for r in rows:
+        assert words[r.doc_id][r.start_word : r.end_word] == words[r.other_id][r.other_start : r.other_end]
+    # the passage that only two texts of a component share
+    assert max(r.end_word - r.start_word for r in rows if (r.doc_id, r.other_id) == (4, 7)) == 70
+    assert {r.component_id for r in rows} == {0, 41}
+
+
+def test_texts_of_one_common_line_are_not_compared(spark, monkeypatch):
+    compared, asked = [], compact._in_cells
+    monkeypatch.setattr(compact, "FEW", 4)
+    monkeypatch.setattr(compact, "_in_cells", lambda held, nodes, pairs, *more:
+                        compared.append(pairs.count()) or asked(held, nodes, pairs, *more))
+    rng = random.Random(22)
+    line, passage = _prose(rng, 24), _prose(rng, 60)
+    texts = [(i, _prose(rng, 30) + line + _prose(rng, 30)) for i in range(120)]
+    for i in (50, 70):
+        texts[i] = (i, texts[i][1] + passage)
+    texts = [(doc, " ".join(words)) for doc, words in texts]
+    rows = repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_id) for r in rows} == {(50, 70)}
+    # with the first and the last one only; a pair per two of them would be 7,140
+    assert sum(compared) < 700
+
+
+def test_passages_need_so_many_shingles():
+    rng = random.Random(23)
+    for _ in range(60):
+        kinds = rng.choice((2, 30, 200))
+        a, b = ([rng.randrange(kinds) for _ in range(rng.randrange(30, 90))] for _ in range(2))
+        cut = rng.randrange(20)
+        b[cut : cut + 60] = a[:60]
+        runs = [compact.Runs(np.array(x, np.int64)) for x in (a, b)]
+        spans = [len(set(a[i : i + 46])) for i in range(len(a) - 45)]
+        assert runs[0].need == (-(-75 * min(spans) // 100) if spans else len(a) + 1)
+        for start, end, low, high, similarity in compact.passages(*runs):
+            left, right = set(a[start : end + 1]), set(b[low : high + 1])
+            assert end - start >= 45
+            assert len(left & right) >= runs[0].need
+            assert similarity == len(left & right) / len(left | right) >= 0.75
+
+
 def test_kept_documents_move_their_text_once(spark):
     docs = spark.createDataFrame(
         [(i, f"line {i} " + "word " * 3 + " ".join(f"x{i}y{j}" for j in range(40)), "s", 3) for i in range(9)],
